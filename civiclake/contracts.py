@@ -17,6 +17,10 @@ UNSIGNED = {
     "uint32": (T.LongType(), 2**32 - 1),
     "uint64": (T.DecimalType(20, 0), 2**64 - 1),
 }
+# Plain type names, known without a running session; other DDL is left to Spark.
+_ATOMIC = {t.simpleString(): t for t in (
+    T.StringType(), T.BooleanType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(),
+    T.DoubleType(), T.DateType(), T.TimestampType(), T.TimestampNTZType())}
 DICTIONARY_SCHEMA = "name string, type string, api_name string, description string"
 
 
@@ -25,7 +29,7 @@ def spark_type(target) -> T.DataType:
         return target
     if target in UNSIGNED:
         return UNSIGNED[target][0]
-    return T.DataType.fromDDL(target)
+    return _ATOMIC.get(target) or T.DataType.fromDDL(target)
 
 
 def coerce_column(col, target, timezone: str = NEW_YORK) -> Column:

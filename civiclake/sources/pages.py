@@ -13,13 +13,13 @@ def write_pages(df: DataFrame, root: str, key: str | None = None, *, records_per
 
 
 def scan_pages(spark: SparkSession, root: str, key: str | None = None, *, schema=None, multi_line: bool = False,
-               with_file_name: bool = False) -> DataFrame:
+               with_file_name: bool = False, pattern: str = "*.json") -> DataFrame:
     """Records of all pages. ``multi_line`` reads pages that hold one JSON array or object each. The
     file name keeps the page order: sort by it where the order matters."""
     path = partition_path(root, key)
-    if not matches(spark, f"{path}/*.json"):
+    if not matches(spark, f"{path}/{pattern}"):
         log.warning("no JSON pages under %s", path)
         return spark.createDataFrame([], schema or "record string")
-    reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", "*.json")
+    reader = spark.read.option("multiLine", multi_line).option("pathGlobFilter", pattern)
     pages = (reader.schema(schema) if schema else reader).json(path)
     return pages.select("*", F.col("_metadata.file_name").alias("page_file")) if with_file_name else pages

@@ -33,10 +33,12 @@ DAILY_CHUNK_DAYS = 30
 HOURLY_CHUNK_DAYS = 7
 
 
-def scan_transactions(spark: SparkSession, path: str, schema: T.StructType, *, row_tag: str = "transaction",
+def scan_transactions(spark: SparkSession, path: str, schema: T.StructType | str, *, row_tag: str = "transaction",
                       status_tag: str = "status") -> DataFrame:
     """``<transaction>`` records; groups one level deep become top-level columns, text is trimmed.
     A response whose status is not ``success`` is an error."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     status = (spark.read.format("xml").option("rowTag", status_tag)
               .schema("result string, messages struct<message: struct<description: string>>").load(path))
     failed = status.where(F.col("result") != "success").select("messages.message.description").head()

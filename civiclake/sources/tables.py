@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from civiclake.operators.unions import diagonal_concat, relaxed_concat
+from civiclake.operators.unions import diagonal_concat
 from civiclake.sources.storage import log, matches, partition_path, partition_values, write_by_columns, write_partition
 
 
@@ -72,34 +76,15 @@ def read_glob(spark: SparkSession, pattern: str, *, hive_partitioning: bool = Fa
     """Files of a path or glob; hive columns only on request, schemas merged by name by default."""
     reader = spark.read.option("mergeSchema", union_by_name)
     if hive_partitioning:
-        reader = reader.option("basePath", base_path or pattern.split("*")[0].rstrip("/"))
+        fixed = re.split(r"[*?\[{]", pattern)[0]
+        reader = reader.option("basePath", base_path or fixed.rsplit("/", 1)[0])
     else:
         reader = reader.option("recursiveFileLookup", True)
     return reader.parquet(pattern)
 
 
-def combine_slices(df: DataFrame, target: str, keys: list[str], *, kind: str = "relaxed") -> str:
+def combine_slices(df: DataFrame, target: str, keys: list[str]) -> str:
     """Selected hive slices of a table as one zstd Parquet table. The slices are one pruned scan: a
     folder per key is read, nothing else."""
-    slices = [partition_values(k) for k in keys]
-    wanted = [F.lit(True) if not v else _all_equal(v) for v in slices]
-    picked = df.where(_any(wanted))
-    return write_table(picked, target, compression="zstd")
-
-
-def _all_equal(values: dict[str, str]):
-    out = F.lit(True)
-    for name, value in values.items():
-        out = out & (F.col(name) == F.lit(value))
-    return out
-
-
-def _any(conditions):
-    out = F.lit(False)
-    for c in conditions:
-        out = out | c
-    return out
-
-
-__all__ = ["write_table", "write_batches", "write_hive", "read_table", "load_partitions", "read_glob",
-           "combine_slices", "relaxed_concat"]
+    slices = [reduce(and_, [F.col(c) == F.lit(v) for c, v in partition_values(k).items()]) for k in keys]
+    return write_table(df.where(reduce(or_, slices)), target, compression="zstd")

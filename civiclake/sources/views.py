@@ -45,14 +45,15 @@ def register_views(spark: SparkSession, paths: list[str], names: list[str]) -> l
     return done
 
 
-def register_tables(spark: SparkSession, paths: list[str], names: list[str]) -> list[str]:
-    """As :func:`register_views`, stored as managed tables."""
+def register_tables(spark: SparkSession, paths: list[str], names: list[str], *, location: str | None = None) -> list[str]:
+    """As :func:`register_views`, stored as tables: in the warehouse, or below ``location``."""
     done = []
     for path, name in _named(paths, names):
         if not matches(spark, path):
             log.warning("skipping %s: nothing at %s", name, path)
             continue
-        read_file(spark, path, _format_of(path)).write.mode("overwrite").saveAsTable(name)
+        writer = read_file(spark, path, _format_of(path)).write.mode("overwrite")
+        (writer.option("path", f"{location.rstrip('/')}/{name}") if location else writer).saveAsTable(name)
         done.append(name)
     return done
 
