@@ -291,11 +291,13 @@ def severity_depths(floods: DataFrame) -> DataFrame:
         .orderBy("borough", F.desc("avg_depth"))
 
 
-def flashiest_floods(floods: DataFrame, k: int = 20) -> DataFrame:
-    return floods.where(F.col("time_to_peak_pct").isNotNull()).select(
+def flashiest_floods(floods: DataFrame, k: int = 20, *, tiebreak: list[str] = ()) -> DataFrame:
+    """Floods that peak soonest; ``tiebreak`` settles the cut among equal ones."""
+    ordered = floods.where(F.col("time_to_peak_pct").isNotNull()) \
+        .orderBy("time_to_peak_pct", "flood_start_time", "sensor_name", *tiebreak).limit(k)
+    return ordered.select(
         "sensor_name", "borough", "flood_start_time", "max_depth_inches", "duration_mins",
-        F.round("rise_rate_in_per_min", 3).alias("rise_rate"), F.round("time_to_peak_pct", 3).alias("peak_pct"),
-        "time_to_peak_pct").orderBy("time_to_peak_pct", "flood_start_time", "sensor_name").limit(k).drop("time_to_peak_pct")
+        F.round("rise_rate_in_per_min", 3).alias("rise_rate"), F.round("time_to_peak_pct", 3).alias("peak_pct"))
 
 
 # -- remote exploration ---------------------------------------------------------------------------

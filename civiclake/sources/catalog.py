@@ -30,12 +30,18 @@ def _rows(spark: SparkSession, rows: list[Row], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def _table(spark: SparkSession, ref: str) -> DataFrame | None:
+def full_name(spark: SparkSession, ref: str) -> str | None:
+    """Name under which Spark knows a reference (a temporary view keeps its own); None if unknown."""
     catalog, schema, table = (check_identifier(p) for p in parse_table_ref(ref))
     if ref == table and spark.catalog.tableExists(table):
-        return spark.table(table)  # also finds temporary views
+        return table
     full = f"{catalog}.{schema}.{table}"
-    return spark.table(full) if spark.catalog.tableExists(full) else None
+    return full if spark.catalog.tableExists(full) else None
+
+
+def _table(spark: SparkSession, ref: str) -> DataFrame | None:
+    name = full_name(spark, ref)
+    return spark.table(name) if name else None
 
 
 def list_tables(spark: SparkSession, schema: str | None = None) -> DataFrame:

@@ -140,13 +140,22 @@ def _(s):
         .select("year", "parse_gap", "transform_gap", "passed", "severity", "reason")
 
 
-@query("Q07_all_months_empty", "SELECT 1 AS months_materialized, 0 AS months_with_data, 1 AS months_empty, 11 AS months_missing, true AS passed, 'warn' AS severity, 'no_data_yet' AS reason FROM (SELECT count(*) FROM orders)")
+@query("Q07_all_months_empty", f"""
+    WITH {_LANDED}, judged AS (
+        SELECT y, months_materialized, months_with_data, 12 - months_materialized AS months_missing, landing_rows, parsed_rows, parsed_rows AS clean_rows, landing_rows - parsed_rows AS parse_gap, 0 AS transform_gap
+        FROM years WHERE y <= 1999 UNION ALL SELECT 2030, 1, 0, 11, 0, 0, 0, 0, 0)
+    SELECT y AS year, months_materialized, months_with_data, months_missing, landing_rows, clean_rows, {_verdicts(months=True)} FROM judged""")
 def _(s):
-    root = s.dir("landing")
-    landing.write_landing(s.orders.where("o_orderkey < 0"), root, "2024-02")
-    return quality.monthly_accounting(s.spark, root, s.dir("clean"), ["2024"]).select(
-        *[F.col(c).cast("int").alias(c) for c in ("months_materialized", "months_with_data", "months_empty", "months_missing")],
-        "passed", "severity", "reason")
+    # Every landed year beside 2030, for which one month landed without records.
+    landing_root, _ = _layers(s)
+    clean_root = s.dir("clean")
+    storage.write_partition(s.orders.select(F.lit("").alias("id,customer,status")).limit(0), landing_root, "csv", "2030-02", header=True, sep="\u0001", quote="\u0002")
+    years = ["1995", "1996", "1997", "1998", "1999"]
+    parsed = landing.scan_landing(s.spark, landing_root, years)
+    tables.write_hive(parsed.select("id", "year"), clean_root, grain="yearly")
+    judged = quality.monthly_accounting(s.spark, landing_root, clean_root, [*years, "2030"])
+    return _as_int(judged, "year").select("year", "months_materialized", "months_with_data", "months_missing", "landing_rows", "clean_rows",
+                                          "passed", "severity", "reason")
 
 
 _ISSUES = """nullif(concat_ws('; ', CASE WHEN parse_gap > 0 THEN 'parse errors' END, CASE WHEN transform_gap > 0 THEN 'transform gap' END,

@@ -95,7 +95,7 @@ _SQL: dict[str, str] = {
                (o_orderkey % 24 >= 22 OR o_orderkey % 24 <= 5) AS is_overnight
         FROM {{orders}}""",
     "flood_events": f"""
-        SELECT 'Sensor ' || CAST(user_id AS STRING) AS sensor_name,
+        SELECT event_id, 'Sensor ' || CAST(user_id AS STRING) AS sensor_name,
                'S' || CAST(user_id AS STRING) AS sensor_id,
                CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS flood_start_time,
                CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts + CAST(event_id % 75 AS INT) * INTERVAL 1 MINUTE END AS flood_end_time,
@@ -127,7 +127,7 @@ _SQL: dict[str, str] = {
         FROM {{customer}}""",
     # The enriched flood table in plain SQL, for the reports that read it.
     "floods": """
-        SELECT e.sensor_name, e.sensor_id, s.borough, s.zipcode, e.flood_start_time, e.max_depth_inches, e.duration_mins,
+        SELECT e.event_id, e.sensor_name, e.sensor_id, s.borough, s.zipcode, e.flood_start_time, e.max_depth_inches, e.duration_mins,
                CASE WHEN e.max_depth_inches < 4 THEN 'minor' WHEN e.max_depth_inches < 12 THEN 'moderate'
                     WHEN e.max_depth_inches < 24 THEN 'major' ELSE 'severe' END AS flood_severity,
                CAST(year(e.flood_start_time) AS INT) AS flood_year, CAST(month(e.flood_start_time) AS INT) AS flood_month,
