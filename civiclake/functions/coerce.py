@@ -77,10 +77,9 @@ def multi_parse_date(col, formats=TIMESTAMP_LAYOUTS, output_timezone: str = NEW_
     are wall time in ``output_timezone`` (missing hour of the year -> null, doubled hour -> the later).
     """
     text = as_column(col).cast("string")
-    return F.coalesce(*[
-        try_parse(text, f) if "Z" in f or "%z" in f else localize(try_parse(text, f), output_timezone)
-        for f in formats
-    ])
+    parsed = F.coalesce(*[try_parse(text, f) for f in formats])
+    instants = [spark_layout(f)[1] for f in formats if "Z" in f or "%z" in f]
+    return localize(parsed, output_timezone, unless=text.rlike("|".join(instants)) if instants else None)
 
 
 def parse_local_date(col, formats=TIMESTAMP_LAYOUTS, timezone: str = NEW_YORK) -> Column:
@@ -107,11 +106,22 @@ def safe_float(col, target: str = "double") -> Column:
     return _plain_float(text).cast(target)
 
 
+# Whole numbers of 64 bits and less, with the largest value each type holds.
+_LIMITS = {"tinyint": 2**7 - 1, "smallint": 2**15 - 1, "int": 2**31 - 1}
+
+
 def safe_int(col, target: T.DataType = T.LongType(), low: int | None = None, high: int | None = None) -> Column:
     """Whole number out of text with thousands commas; ``12.0`` and padded text are null.
     ``low`` / ``high`` bound types Spark has no native equivalent for (unsigned)."""
-    text = F.regexp_replace(as_column(col).cast("string"), ",", "")
-    number = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast(target))
-    if low is None:
+    text = F.replace(as_column(col).cast("string"), F.lit(","), F.lit(""))
+    wide = target if isinstance(target, T.DecimalType) else T.LongType()
+    # A failing cast is dear, so texts with too many digits are refused by their shape already.
+    digits = wide.precision if isinstance(wide, T.DecimalType) else 19
+    number = F.when(text.rlike(rf"^[+-]?0*\d{{1,{digits}}}$"), text.try_cast(wide))
+    name = target.simpleString()
+    if low is None and name not in _LIMITS:
         return number
-    return F.when(number.between(F.lit(low).cast(target), F.lit(high).cast(target)), number)
+    if low is None:
+        high = _LIMITS[name]
+        low = -high - 1
+    return F.when(number.between(F.lit(low).cast(wide), F.lit(high).cast(wide)), number.cast(target))

@@ -21,17 +21,20 @@ DURATION_UNITS = {
 }
 
 
-def localize(wall: Column, tz: str) -> Column:
+def localize(wall: Column, tz: str, *, unless: Column | None = None) -> Column:
     """Instant of a wall time in ``tz``: null inside the skipped hour, the later instant in the
-    doubled hour. Accepts timestamp_ntz, date or a timestamp holding wall time as UTC."""
+    doubled hour. Accepts timestamp_ntz, date or a timestamp holding wall time as UTC. Where
+    ``unless`` holds, the value is an instant already and kept.
+
+    The first condition uses the value twice, which lets Spark share one evaluation of it."""
     wall = wall.cast("timestamp")
     instant = F.to_utc_timestamp(wall, tz)
     later = instant + F.expr("INTERVAL 1 HOUR")
-    return (
-        F.when(F.from_utc_timestamp(instant, tz) != wall, F.lit(None).cast("timestamp"))
-        .when(F.from_utc_timestamp(later, tz) == wall, later)
-        .otherwise(instant)
-    )
+    kept = F.lit(None).cast("timestamp") if unless is None else F.when(unless, wall)
+    resolved = F.when(F.from_utc_timestamp(instant, tz) != wall, kept)
+    if unless is not None:
+        resolved = resolved.when(unless, wall)
+    return resolved.when(F.from_utc_timestamp(later, tz) == wall, later).otherwise(instant)
 
 
 def local_wall_time(instant: Column, tz: str) -> Column:

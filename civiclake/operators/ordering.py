@@ -12,50 +12,73 @@ from civiclake.functions import as_column
 from civiclake.session import materialize
 
 _PART, _LOCAL, _BASE = "__part", "__local", "__base"
+PARTITION_BYTES = 256 * 1024 * 1024
+# monotonically_increasing_id: partition number above these bits, row number within it below.
+_ROW_BITS = 33
 
 
 def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Shuffle partitions of a bearable size: the session's number, or more for more data."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // PARTITION_BYTES, 200_000))
 
 
-def grouped_position(df: DataFrame, keys: list[str], order: list, *, position: str = "position",
-                     group_size: str | None = None) -> DataFrame:
-    """Add the 1-based position of each row within its key under ``order`` (and the key's row count).
-    ``order`` should end in a unique column to make ties repeatable; ``keys=[]`` numbers the table."""
-    order = [as_column(o) for o in order]
-    placed = materialize(
-        df.repartitionByRange(_partitions(df), *keys, *order).withColumn(_PART, F.spark_partition_id())
-    )
-    counts = placed.groupBy(_PART, *keys).agg(F.count("*").alias("__n"))
+def _with_running_weight(df: DataFrame, keys: list[str], order: list[Column], weight: Column) -> DataFrame:
+    """Add ``__before``, the weight ahead of each row within its key, and ``__total``, the key's weight."""
+    placed = materialize(df.withColumn("__w", weight).repartitionByRange(_partitions(df), *keys, *order)
+                         .withColumn(_PART, F.spark_partition_id()))
+    pieces = placed.groupBy(_PART, *keys).agg(F.sum("__w").alias("__n"))
     # A key lies in one run of partitions. Only keys crossing a border need an offset, and there are
     # fewer than two such (partition, key) pairs per partition.
-    crossing = counts.withColumn("__parts", F.count("*").over(Window.partitionBy(*keys))).where("__parts > 1") \
-        if keys else counts
-    running = Window.partitionBy(*keys).orderBy(_PART)
+    crossing = pieces.withColumn("__parts", F.count("*").over(Window.partitionBy(*keys))).where("__parts > 1")
+    earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = crossing.select(
         F.col(_PART).alias("__op"), *[F.col(k).alias(f"__o_{k}") for k in keys],
-        F.coalesce(F.sum("__n").over(running.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_BASE),
-        F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
-    )
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_BASE),
+        F.sum("__n").over(Window.partitionBy(*keys)).alias("__whole"))
     same = F.col(_PART) == F.col("__op")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
-    within = Window.partitionBy(_PART, *keys)
-    numbered = placed.withColumn(_LOCAL, F.row_number().over(within.orderBy(*order)))
-    if group_size:
-        numbered = numbered.withColumn("__here", F.count("*").over(within))
+    piece = Window.partitionBy(_PART, *keys)
+    ahead = piece.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumns({_LOCAL: F.coalesce(F.sum("__w").over(ahead), F.lit(0)), "__piece": F.sum("__w").over(piece)})
     # At most two rows per shuffle partition: bounded by construction, so broadcast is safe.
-    joined = numbered.join(F.broadcast(offsets), same, "left")
-    out = {position: (F.col(_LOCAL) + F.coalesce(_BASE, F.lit(0))).cast("long")}
+    joined = local.join(F.broadcast(offsets), same, "left")
+    return joined.select(*df.columns, "__w", (F.col(_LOCAL) + F.coalesce(_BASE, F.lit(0))).alias("__before"),
+                         F.coalesce("__whole", "__piece").alias("__total"))
+
+
+def grouped_position(df: DataFrame, keys: list[str], order: list, *, position: str = "position",
+                     group_size: str | None = None) -> DataFrame:
+    """Add the 1-based position of each row within its key under ``order`` (and the key's row count).
+    ``order`` should end in a unique column to make ties repeatable."""
+    numbered = _with_running_weight(df, keys, [as_column(o) for o in order], F.lit(1).cast("long"))
+    added = [(F.col("__before") + 1).alias(position)]
     if group_size:
-        out[group_size] = F.coalesce("__total", "__here").cast("long")
-    return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
+        added.append(F.col("__total").alias(group_size))
+    return numbered.select(*df.columns, *added)
+
+
+def table_position(df: DataFrame, order: list, *, position: str = "position") -> DataFrame:
+    """Add the 1-based position of each row in the whole table under ``order``. Every task numbers its
+    own sorted range; the ranges' sizes (one row each) give the offsets."""
+    order = [as_column(o) for o in order]
+    ranged = df.repartitionByRange(_partitions(df), *order).sortWithinPartitions(*order)
+    placed = materialize(ranged.withColumn(_LOCAL, F.monotonically_increasing_id()))
+    part = F.shiftright(_LOCAL, _ROW_BITS)
+    counts = placed.groupBy(part.alias(_PART)).agg(F.count("*").alias("__n"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_BASE))
+    # One row per range: bounded by the number of partitions, so broadcast is safe.
+    joined = placed.withColumn(_PART, part).join(F.broadcast(offsets), _PART)
+    row = F.col(_LOCAL).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return joined.select(*df.columns, (F.col(_BASE) + row + 1).alias(position))
 
 
 def page_index(df: DataFrame, order: list, limit: int, *, offset: str = "row_offset", page: str = "page") -> DataFrame:
     """Zero-based row offset under ``order`` and the page of ``limit`` rows it falls in."""
     row = F.col(offset)
-    return (grouped_position(df, [], order, position=offset)
+    return (table_position(df, order, position=offset)
             .withColumn(offset, row - 1)
             .withColumn(page, F.call_function("div", row, F.lit(limit))))
 
@@ -74,14 +97,18 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, *, rank:
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles per key (median is 0.5), without gathering a key in one task:
-    the rows next to each quantile are found by position and only they are aggregated."""
-    placed = grouped_position(df.where(F.col(value).isNotNull()).select(*keys, value), keys, [value],
-                              position="__pos", group_size="__size")
+    """Exact interpolated quantiles per key (median is 0.5), without gathering a key in one task.
+    Equal values are counted first; then the values at the two positions around each quantile are
+    found by running counts, and only those enter the final aggregate."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__count"))
+    placed = _with_running_weight(counted, keys, [F.col(value)], F.col("__count"))
     aggregates = []
     for name, q in quantiles.items():
-        # Position of the quantile, counted from one; rows within one step of it carry weight.
-        target = F.lit(float(q)) * (F.col("__size") - 1) + 1
-        weight = F.greatest(F.lit(0.0), 1 - F.abs(F.col("__pos") - target))
+        # Zero-based target position; its whole part and the next one carry the weight.
+        target = F.lit(float(q)) * (F.col("__total") - 1)
+        below = F.floor(target)
+        share = target - below
+        holds = [(F.col("__before") <= at) & (at < F.col("__before") + F.col("__w")) for at in (below, below + 1)]
+        weight = F.when(holds[0], 1 - share).otherwise(0.0) + F.when(holds[1], share).otherwise(0.0)
         aggregates.append(F.sum(F.when(weight > 0, weight * F.col(value))).alias(name))
     return placed.groupBy(*keys).agg(*aggregates)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from civiclake.functions.classify import depth_severity, is_word
 from civiclake.functions.flags import add_completeness_flags
 from civiclake.functions.numeric import compute_rate
-from civiclake.functions.profiles import profile_area, profile_sample_count
+from civiclake.functions.profiles import area_under, parse_numbers, sample_count
 from civiclake.functions.temporal import NEW_YORK, add_record_timestamp, add_temporal_columns, impute_interval, localize
 
 # Source columns of the two tables, with their contract types and meanings.
@@ -72,16 +72,21 @@ def enrich_events(events: DataFrame, sensors: DataFrame, *, tz: str = NEW_YORK,
     profile measures, one row per event."""
     df = join_sensors(events, sensors)
     df = impute_interval(df, "flood_start_time", "flood_end_time", "duration_mins")
+    if sort:
+        # Before the derived columns: the shuffle is narrower, and the sampling pass of the sort does
+        # not compute them. The projections below keep the order.
+        df = df.orderBy("flood_start_time", "sensor_id")
+    df = df.withColumns({"__depths": parse_numbers("flood_profile_depth_inches"),
+                         "__seconds": parse_numbers("flood_profile_time_secs")})
     df = df.withColumns({
         **{c: localize(F.col(c), tz) for c in ("date_installed", "date_removed")},
         "is_tidally_influenced": is_word("tidally_influenced"),
         "flood_severity": depth_severity("max_depth_inches", null_is_severe=null_is_severe),
         **{name: compute_rate(*pair) for name, pair in HYDRO_RATES.items()},
-        "flood_volume_index": profile_area("flood_profile_depth_inches", "flood_profile_time_secs"),
-        "profile_sample_count": profile_sample_count("flood_profile_depth_inches"),
-    })
+        "flood_volume_index": area_under("__depths", "__seconds"),
+        "profile_sample_count": sample_count("__depths"),
+    }).drop("__depths", "__seconds")
     df = add_temporal_columns(df, "flood_start_time", prefix="flood_", quarter=False, hour=True, season=True,
                               is_overnight=True, tz=tz)
     df = add_record_timestamp(df, "flood_start_time", "datetime", tz=tz)
-    df = add_completeness_flags(df, lat_col="latitude", lon_col="longitude")
-    return df.orderBy("flood_start_time", "sensor_id") if sort else df
+    return add_completeness_flags(df, lat_col="latitude", lon_col="longitude")
