@@ -124,4 +124,5 @@ def safe_int(col, target: T.DataType = T.LongType(), low: int | None = None, hig
     if low is None:
         high = _LIMITS[name]
         low = -high - 1
-    return F.when(number.between(F.lit(low).cast(wide), F.lit(high).cast(wide)), number.cast(target))
+    bounds = [F.lit(str(b)).cast(wide) for b in (low, high)]  # 2**64 has no integer literal
+    return F.when(number.between(*bounds), number.cast(target))
