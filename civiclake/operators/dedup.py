@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, functions as F
 
 from civiclake.operators.ordering import grouped_position, top_per_group
 
@@ -32,9 +35,11 @@ def keep_preferred(df: DataFrame, *, key_cols: list[str], rank_col: str, tiebrea
 
 
 def count_per_key(df: DataFrame, key_cols: list[str], count_col: str = "_dedup_count") -> DataFrame:
-    """Rows per key next to every row: aggregate first, then join the counts back."""
-    counts = df.groupBy(*key_cols).agg(F.count("*").alias(count_col))
-    return df.join(counts, key_cols, "left")
+    """Rows per key next to every row: aggregate first, then join the counts back (null is a key
+    like any other). A hot key is split by the adaptive skew join, its count being a single row."""
+    counts = df.groupBy(*[F.col(k).alias(f"__{k}") for k in key_cols]).agg(F.count("*").alias(count_col))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key_cols])
+    return df.join(counts, same, "left").drop(*[f"__{k}" for k in key_cols])
 
 
 def distinct_sorted(df: DataFrame, cols: list[str]) -> DataFrame:

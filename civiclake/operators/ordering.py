@@ -13,14 +13,18 @@ from civiclake.session import materialize
 
 _PART, _LOCAL, _BASE = "__part", "__local", "__base"
 PARTITION_BYTES = 256 * 1024 * 1024
+_UNKNOWN_BYTES = 1 << 60  # Spark reports the largest long for sources it cannot measure
 # monotonically_increasing_id: partition number above these bits, row number within it below.
 _ROW_BITS = 33
 
 
 def _partitions(df: DataFrame) -> int:
-    """Shuffle partitions of a bearable size: the session's number, or more for more data."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(size // PARTITION_BYTES, 200_000))
+    """Shuffle partitions of a bearable size: the session's number, or more when the inputs are
+    large. Only the inputs' own sizes count; estimates for joins and unknown sources are useless."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(size for size in sizes if size < _UNKNOWN_BYTES)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // PARTITION_BYTES)
 
 
 def _with_running_weight(df: DataFrame, keys: list[str], order: list[Column], weight: Column) -> DataFrame:

@@ -77,8 +77,9 @@ def write_partition(df: DataFrame, root: str, fmt: str, key: str | None = None,
 
 
 def write_by_columns(df: DataFrame, root: str, fmt: str, partition_cols: list[str], **options) -> str:
-    """Write many hive partitions at once; only those present in the frame are replaced. Rows are
-    spread within a partition first, so one big partition is written by many tasks."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Write many hive partitions at once; only those present in the frame are replaced. The
+    rebalance hint gathers a partition's rows into files of a good size, and splits a partition
+    that holds much of the table over several tasks."""
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).format(fmt).options(**options).save(root))
     return root

@@ -72,6 +72,12 @@ def test_duplicate_markers_of_a_hot_key(skewed):
             assert made[i] == (len(members), place)
 
 
+def test_counts_per_key_include_null(skewed):
+    rows, df = skewed
+    sizes = {k: len(m) for k, m in grouped(rows).items()}
+    assert {r.id: r._dedup_count for r in dedup.count_per_key(df, ["k"]).collect()} == {i: sizes[k] for i, k, _ in rows}
+
+
 def test_preferred_rows(skewed):
     rows, df = skewed
     best = {sorted(members, key=lambda m: (-m[0], m[1]))[0][1] for members in grouped(rows).values()}

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from civiclake.session import configure, shared_dir
 from workload.shapes import SHAPES, TABLES, expand
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 class Source:
@@ -22,12 +24,18 @@ class Source:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return self._read(f"{self.sf_dir}/{name}.parquet")
         if name in SHAPES:
             sql, inputs = SHAPES[name]
             return self.spark.sql(sql, **{i: getattr(self, i) for i in inputs})
         raise AttributeError(name)
 
+    def _read(self, path: str) -> DataFrame:
+        """A table; its schema is inferred from the footers once per process."""
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+
     def sql(self, text: str, *names: str, **args) -> DataFrame:
         """Spark SQL over named inputs, written ``{name}``; ``args`` are bound parameters."""
         return self.spark.sql(text, args=args or None, **{n: getattr(self, n) for n in names})
