@@ -129,7 +129,7 @@ def _(s):
 
 
 @query("Q06_verdicts_with_filtering", f"""
-    WITH {_LANDED} SELECT y AS year, parse_gap, transform_gap, {_verdicts(allow=True)} FROM (SELECT y, landing_rows, parsed_rows AS landing, parsed_rows, clean_rows, 0 AS parse_gap, parsed_rows - clean_rows AS transform_gap
+    WITH {_LANDED} SELECT y AS year, parse_gap, transform_gap, {_verdicts(allow=True)} FROM (SELECT y, landing_rows, parsed_rows AS landing, parsed_rows, clean_rows, CAST(0 AS BIGINT) AS parse_gap, parsed_rows - clean_rows AS transform_gap
     FROM (SELECT y, parsed_rows AS landing_rows, parsed_rows, clean_rows FROM gaps))""")
 def _(s):
     # Only well-formed lines are landed here, so what differs is the transform.

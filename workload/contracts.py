@@ -97,11 +97,11 @@ def _(s):
     return rows.join(made.agg(*[F.count(n).alias(n) for n in names]).unpivot([], names, "name", "n"), "name")
 
 
-@query("P08_reorder_columns", "SELECT o_totalprice, o_orderdate, o_orderkey, o_custkey FROM orders")
+@query("P08_reorder_columns", "SELECT o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderkey, o_custkey FROM orders")
 def _(s):
     moved = layout.reorder_columns(s.orders.drop("o_orderstatus", "o_orderpriority"), ["o_totalprice", "nowhere", "o_orderdate"])
     assert moved.columns == ["o_totalprice", "o_orderdate", "o_orderkey", "o_custkey"]
-    return moved.withColumn("o_orderdate", F.col("o_orderdate"))
+    return moved.withColumn("o_orderdate", F.to_date("o_orderdate"))
 
 
 @query("P09_declarative_clean", f"""
@@ -214,7 +214,7 @@ def _(s):
 
 @query("C05_integers", f"""
     SELECT l_orderkey, l_linenumber, l_partkey, {duck.whole_number('quantity_text')} AS q64, {duck.whole_number('quantity_text', 'SMALLINT')} AS q16,
-           {duck.whole_number('quantity_text', 'USMALLINT')} AS u16 FROM {{landing_text}}""")
+           CAST({duck.whole_number('quantity_text', 'USMALLINT')} AS INT) AS u16 FROM {{landing_text}}""")
 def _(s):
     kinds = {"q64": "bigint", "q16": "smallint", "u16": "uint16"}
     return s.landing_text.select("l_orderkey", "l_linenumber", "l_partkey",

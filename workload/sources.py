@@ -82,7 +82,7 @@ def _(s):
     return tables.read_table(s.spark, root)
 
 
-@query("S06_batched_sink", "SELECT count(*) AS row_count, sum(l_orderkey) AS keys, true AS bounded FROM lineitem")
+@query("S06_batched_sink", "SELECT count(*) AS row_count, sum(l_orderkey)::BIGINT AS keys, true AS bounded FROM lineitem")
 def _(s):
     root = s.dir("lineitem")
     tables.write_batches(s.lineitem, root, rows_per_file=20_000)
