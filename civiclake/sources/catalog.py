@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from civiclake.sources.storage import child_names, file_list
+from civiclake.sources.storage import file_list
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 DEFAULT_CATALOG = "spark_catalog"
@@ -89,7 +89,3 @@ def table_comments(spark: SparkSession, schema: str | None = None, *, include_em
     rows = [Row(s, t.name, t.description) for s in schemas for t in spark.catalog.listTables(s) if not t.isTemporary]
     kept = [r for r in rows if include_empty or r[2]]
     return _rows(spark, kept, "schema_name string, table_name string, comment string").orderBy("schema_name", "table_name")
-
-
-def stored_table_names(spark: SparkSession, base: str) -> list[str]:
-    return [n for n in child_names(spark, base) if not n.startswith(("_", "."))]

@@ -102,25 +102,25 @@ def _(s):
 
 
 @query("S08_evolving_scan", """
-    SELECT o_orderkey, year, CASE WHEN year = '1996' THEN o_totalprice END AS o_totalprice FROM
-    (SELECT *, strftime(o_orderdate, '%Y') AS year FROM orders) WHERE year IN ('1995', '1996')""")
+    SELECT o_orderkey, strftime(o_orderdate, '%Y') AS year, CASE WHEN year(o_orderdate) >= 1998 THEN o_totalprice END AS o_totalprice FROM orders""")
 def _(s):
+    # Years before 1998 were written without the price.
     root = s.dir("evolving")
     dated = _monthly(s)
-    tables.write_table(dated.where("year = '1995'").select("o_orderkey"), root, "1995")
-    tables.write_table(dated.where("year = '1996'").select("o_orderkey", "o_totalprice"), root, "1996")
-    return tables.read_table(s.spark, root, ["1995", "1996", "1997"])
+    tables.write_hive(dated.where("year < '1998'").select("o_orderkey", "year"), root, grain="yearly")
+    tables.write_hive(dated.where("year >= '1998'").select("o_orderkey", "o_totalprice", "year"), root, grain="yearly")
+    return tables.read_table(s.spark, root)
 
 
-@query("S09_load_partitions", """
-    SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, strftime(o_orderdate, '%Y') AS year FROM orders WHERE year(o_orderdate) IN (1995, 1996)""")
+@query("S09_load_partitions", "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, strftime(o_orderdate, '%Y') AS year FROM orders")
 def _(s):
+    # The customer was a number before 1998 and text later.
     root = s.dir("drifted")
     dated = _monthly(s)
-    tables.write_table(dated.where("year = '1995'").select("o_orderkey", "o_custkey"), root, "1995")
-    tables.write_table(dated.where("year = '1996'").selectExpr("o_orderkey", "CAST(o_custkey AS STRING) AS o_custkey"), root, "1996")
+    tables.write_hive(dated.where("year < '1998'").select("o_orderkey", "o_custkey", "year"), root, grain="yearly")
+    tables.write_hive(dated.where("year >= '1998'").selectExpr("o_orderkey", "CAST(o_custkey AS STRING) AS o_custkey", "year"), root, grain="yearly")
     assert tables.load_partitions(s.spark, root, ["1980"]) is None
-    return tables.load_partitions(s.spark, root, ["1995", "1996", "1999"], cast_overrides={"o_custkey": "string"})
+    return tables.load_partitions(s.spark, root, [str(y) for y in range(1990, 2010)], cast_overrides={"o_custkey": "string"})
 
 
 @query("S10_glob_read", "SELECT o_orderkey, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month FROM orders WHERE month(o_orderdate) IN (1, 10, 11, 12)")
