@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, tokencount
+from civiclake.llm import bpe, tokencount, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,4 +19,6 @@ def _register(*functions: Query, **oracles: str) -> None:
     ORACLES.update(oracles)
 
 
-_register(bpe.op5_bpe, tokencount.op1_token_counts)
+_register(
+    tokencount.op1_token_counts, urlfilter.op3_url_filter, bpe.op5_bpe,
+    op3_url_filter=urlfilter.OP3_SQL)
