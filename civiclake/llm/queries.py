@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, tokencount, urlfilter
+from civiclake.llm import bpe, tokencount, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,5 +20,5 @@ def _register(*functions: Query, **oracles: str) -> None:
 
 
 _register(
-    tokencount.op1_token_counts, urlfilter.op3_url_filter, bpe.op5_bpe,
+    tokencount.op1_token_counts, urlfilter.op3_url_filter, bpe.op5_bpe, warc.op7_warc,
     op3_url_filter=urlfilter.OP3_SQL)
