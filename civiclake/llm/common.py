@@ -105,24 +105,26 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, at: np.ndarray, lower: np.ndarray = _LOWER, classes: np.ndarray = ~_BLANK,
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of many texts at once: hashes, first bytes, ends, and the n + 1 offsets of each text's words.
 
-    Words are runs of bytes other than space and 9-13; A-Z count as a-z. A word's hash is a polynomial
-    over its bytes modulo 2^64, taken from prefix sums, and mixed with its length.
+    Words are runs of bytes of one class other than 0; by default of bytes other than space and 9-13, with
+    A-Z as a-z. A word's hash is a polynomial over its bytes modulo 2^64, taken from prefix sums, and mixed
+    with its length.
     """
     n = len(data)
-    low = _LOWER[data]
-    word = np.zeros(n + 2, bool)
-    word[1:-1] = ~_BLANK[data]
-    begins = word[1:-1] & ~word[:-2]
-    ends = word[1:-1] & ~word[2:]
+    kind = np.zeros(n + 2, np.uint8)
+    kind[1:-1] = classes[data]
+    here = kind[1:-1] != 0
+    begins = here & (kind[1:-1] != kind[:-2])
+    ends = here & (kind[1:-1] != kind[2:])
     inner = at[1:-1][(at[1:-1] > 0) & (at[1:-1] < n)]  # texts border without a blank
-    begins[inner] |= word[1:-1][inner]
-    ends[inner - 1] |= word[1:-1][inner - 1]
+    begins[inner] |= here[inner]
+    ends[inner - 1] |= here[inner - 1]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     up, down = powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+    np.cumsum((lower[data].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
     hashes = mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64) * _M2)
     return hashes, first, last, np.searchsorted(first, at)
