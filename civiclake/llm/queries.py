@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclake.llm import bpe, idfile, quality, tokencount, urlfilter, warc
+from civiclake.llm import bpe, idfile, ngramjoin, quality, tokencount, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,5 +20,5 @@ def _register(*functions: Query, **oracles: str) -> None:
 
 
 _register(
-    tokencount.op1_token_counts, urlfilter.op3_url_filter, bpe.op5_bpe, warc.op7_warc, idfile.op8_token_file, quality.op10_quality,
+    tokencount.op1_token_counts, urlfilter.op3_url_filter, bpe.op5_bpe, ngramjoin.op6_ngram_join, warc.op7_warc, idfile.op8_token_file, quality.op10_quality,
     op3_url_filter=urlfilter.OP3_SQL)
