@@ -13,6 +13,8 @@ from civiclake.session import shared_dir
 
 #: Rows of an Arrow batch handed to Python; texts run to 100 KB, so the default of 10,000 is too many.
 BATCH_ROWS = 500
+#: Bytes of an Arrow batch.
+BATCH_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,7 @@ def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
