@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F, types as T
 
-from civiclake.functions import as_column
+from civiclake.functions import as_column, strip
 from civiclake.functions.temporal import local_wall_time, localize
 
 NEW_YORK = "America/New_York"
@@ -88,7 +88,7 @@ def parse_local_date(col, formats=TIMESTAMP_LAYOUTS, timezone: str = NEW_YORK) -
 
 
 def safe_bool(col) -> Column:
-    word = F.trim(F.lower(as_column(col).cast("string")))
+    word = strip(F.lower(as_column(col).cast("string")))
     return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
 
 

@@ -6,7 +6,7 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from civiclake.functions import as_column
+from civiclake.functions import as_column, strip
 
 # Borough code -> (canonical name, spellings found in public datasets).
 BOROUGHS = {
@@ -21,14 +21,9 @@ LATITUDES = (40.4, 40.95)
 LONGITUDES = (-74.3, -73.65)
 
 
-def _strip(text: Column) -> Column:
-    """Trim every kind of blank, not only spaces."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-
-
 def _lookup(col, value_of) -> Column:
     pairs = [(F.lit(s), F.lit(value_of(code, name))) for code, (name, spellings) in BOROUGHS.items() for s in spellings]
-    return F.try_element_at(F.create_map(*chain.from_iterable(pairs)), F.upper(_strip(as_column(col))))
+    return F.try_element_at(F.create_map(*chain.from_iterable(pairs)), F.upper(strip(as_column(col))))
 
 
 def borough_name(col) -> Column:
@@ -74,7 +69,7 @@ def pad_zeros(text: Column, width: int) -> Column:
 
 def parcel_id(boro, block, lot) -> Column:
     """Ten-digit parcel id: borough digit, block of five, lot of four; any null part -> null."""
-    digits = [pad_zeros(as_column(c).cast("long").cast("string"), w) for c, w in ((block, 5), (lot, 4))]
+    digits = [pad_zeros(as_column(c).cast("string").try_cast("long").cast("string"), w) for c, w in ((block, 5), (lot, 4))]
     return F.concat(F.substring(as_column(boro).cast("string"), 1, 1), *digits)
 
 
@@ -85,7 +80,7 @@ def add_nyc_bbl(df: DataFrame, boro_col: str = "boro", block_col: str = "block",
 
 def community_district_key(district, borough=None) -> Column:
     """Three-digit district key: borough code and a two-digit district, or the padded district alone."""
-    text = _strip(as_column(district).cast("string"))
+    text = strip(as_column(district).cast("string"))
     if borough is None:
         return pad_zeros(text, 3)
     return F.concat(borough_code(borough).cast("string"), pad_zeros(text, 2))

@@ -41,7 +41,7 @@ def local_wall_time(instant: Column, tz: str) -> Column:
     return F.from_utc_timestamp(instant, tz)
 
 
-def _wall(df: DataFrame, col: str, tz: str) -> Column:
+def wall_time(df: DataFrame, col: str, tz: str) -> Column:
     """Wall time of a column whatever its type."""
     c = F.col(col)
     return local_wall_time(c, tz) if isinstance(df.schema[col].dataType, T.TimestampType) else c
@@ -131,7 +131,7 @@ def add_temporal_columns(
         "fiscal_year": fiscal_year, "season": season, "year_month": year_month_key,
         "hour": hour, "is_overnight": is_overnight,
     }
-    wall = _wall(df, date_col, tz)
+    wall = wall_time(df, date_col, tz)
     added = {prefix + part: CALENDAR_PARTS[part](wall) for part, on in wanted.items() if on}
     return df.withColumns(added) if added else df
 

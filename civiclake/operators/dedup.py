@@ -15,18 +15,19 @@ def _direction(rank_col: str, descending: bool):
     return col.desc_nulls_last() if descending else col.asc_nulls_last()
 
 
-def add_duplicate_markers(df: DataFrame, *, key_cols: list[str], rank_col: str, tiebreak: list[str] = (),
+def add_duplicate_markers(df: DataFrame, *, key_cols: list[str], rank_col: str, tiebreak: list[str],
                           count_col: str = "_dedup_count", rank_out_col: str = "_dedup_rank",
                           descending: bool = True) -> DataFrame:
     """Rows per key and the ordinal rank within the key (1 = preferred); rows without a rank value
-    get none. Equal rank values are ordered by ``tiebreak``."""
+    get none. Equal rank values are ordered by ``tiebreak``, which should end in a unique column: it also lets a
+    key with one rank value be spread over many tasks."""
     placed = grouped_position(df, key_cols, [_direction(rank_col, descending), *tiebreak],
                               position=rank_out_col, group_size=count_col)
     ranked = F.when(F.col(rank_col).isNotNull(), F.col(rank_out_col).cast("int"))
     return placed.select(*df.columns, count_col, ranked.alias(rank_out_col))
 
 
-def keep_preferred(df: DataFrame, *, key_cols: list[str], rank_col: str, tiebreak: list[str] = (),
+def keep_preferred(df: DataFrame, *, key_cols: list[str], rank_col: str, tiebreak: list[str],
                    descending: bool = True) -> DataFrame:
     """The rank-1 row of each key; needs no full ranking, so each task keeps one row per key."""
     ranked = top_per_group(df.where(F.col(rank_col).isNotNull()), key_cols,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -46,4 +46,6 @@ def apply_criteria(df: DataFrame, criteria: list[dict], extra: list[dict] = ())
 
 def contains_any(col, words: list[str]) -> Column:
     """Case-insensitive: any of the words occurs in the text."""
-    return as_column(col).rlike("(?i)" + "|".join(words))
+    text = F.lower(as_column(col))
+    found = [F.contains(text, F.lit(word.lower())) for word in words]
+    return reduce(or_, found) if found else F.lit(False)

@@ -12,19 +12,12 @@ from civiclake.functions import as_column
 from civiclake.session import materialize
 
 _PART, _LOCAL, _BASE = "__part", "__local", "__base"
-PARTITION_BYTES = 256 * 1024 * 1024
-_UNKNOWN_BYTES = 1 << 60  # Spark reports the largest long for sources it cannot measure
 # monotonically_increasing_id: partition number above these bits, row number within it below.
 _ROW_BITS = 33
 
 
 def _partitions(df: DataFrame) -> int:
-    """Shuffle partitions of a bearable size: the session's number, or more when the inputs are
-    large. Only the inputs' own sizes count; estimates for joins and unknown sources are useless."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    known = sum(size for size in sizes if size < _UNKNOWN_BYTES)
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // PARTITION_BYTES)
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _with_running_weight(df: DataFrame, keys: list[str], order: list[Column], weight: Column) -> DataFrame:
@@ -46,8 +39,8 @@ def _with_running_weight(df: DataFrame, keys: list[str], order: list[Column], we
     piece = Window.partitionBy(_PART, *keys)
     ahead = piece.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = placed.withColumns({_LOCAL: F.coalesce(F.sum("__w").over(ahead), F.lit(0)), "__piece": F.sum("__w").over(piece)})
-    # At most two rows per shuffle partition: bounded by construction, so broadcast is safe.
-    joined = local.join(F.broadcast(offsets), same, "left")
+    # At most two rows per shuffle partition; Spark broadcasts them while they are few.
+    joined = local.join(offsets, same, "left")
     return joined.select(*df.columns, "__w", (F.col(_LOCAL) + F.coalesce(_BASE, F.lit(0))).alias("__before"),
                          F.coalesce("__whole", "__piece").alias("__total"))
 
@@ -73,8 +66,8 @@ def table_position(df: DataFrame, order: list, *, position: str = "position") ->
     counts = placed.groupBy(part.alias(_PART)).agg(F.count("*").alias("__n"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_BASE))
-    # One row per range: bounded by the number of partitions, so broadcast is safe.
-    joined = placed.withColumn(_PART, part).join(F.broadcast(offsets), _PART)
+    # One row per range; Spark broadcasts them while they are few.
+    joined = placed.withColumn(_PART, part).join(offsets, _PART)
     row = F.col(_LOCAL).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return joined.select(*df.columns, (F.col(_BASE) + row + 1).alias(position))
 
@@ -100,19 +93,25 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, *, rank:
     return ranked.where(F.col(rank) <= k)
 
 
-def grouped_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+def grouped_quantiles(df: DataFrame, keys: list[str], value: str | dict[str, dict[str, float]],
+                      quantiles: dict[str, float] | None = None) -> DataFrame:
     """Exact interpolated quantiles per key (median is 0.5), without gathering a key in one task.
     Equal values are counted first; then the values at the two positions around each quantile are
-    found by running counts, and only those enter the final aggregate."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__count"))
-    placed = _with_running_weight(counted, keys, [F.col(value)], F.col("__count"))
+    found by running counts, and only those enter the final aggregate. Several columns, given as
+    ``{column: {name: quantile}}``, are unpivoted and placed in one pass."""
+    wanted = value if isinstance(value, dict) else {value: quantiles}
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(wanted)]))
+    stacked = df.select(*keys, pairs.alias("__pair")).select(*keys, F.col("__pair.i").alias("__which"), F.col("__pair.v").alias("__value"))
+    counted = stacked.where("__value IS NOT NULL").groupBy(*keys, "__which", "__value").agg(F.count("*").alias("__count"))
+    placed = _with_running_weight(counted, [*keys, "__which"], [F.col("__value")], F.col("__count"))
     aggregates = []
-    for name, q in quantiles.items():
-        # Zero-based target position; its whole part and the next one carry the weight.
-        target = F.lit(float(q)) * (F.col("__total") - 1)
-        below = F.floor(target)
-        share = target - below
-        holds = [(F.col("__before") <= at) & (at < F.col("__before") + F.col("__w")) for at in (below, below + 1)]
-        weight = F.when(holds[0], 1 - share).otherwise(0.0) + F.when(holds[1], share).otherwise(0.0)
-        aggregates.append(F.sum(F.when(weight > 0, weight * F.col(value))).alias(name))
+    for which, asked in enumerate(wanted.values()):
+        for name, q in asked.items():
+            # Zero-based target position; its whole part and the next one carry the weight.
+            target = F.lit(float(q)) * (F.col("__total") - 1)
+            below = F.floor(target)
+            share = target - below
+            holds = [(F.col("__before") <= at) & (at < F.col("__before") + F.col("__w")) for at in (below, below + 1)]
+            weight = F.when(holds[0], 1 - share).otherwise(0.0) + F.when(holds[1], share).otherwise(0.0)
+            aggregates.append(F.sum(F.when((F.col("__which") == which) & (weight > 0), weight * F.col("__value"))).alias(name))
     return placed.groupBy(*keys).agg(*aggregates)

@@ -298,14 +298,11 @@ class Diagnostics:
 
     row_counts: bool = False
     dropped_rows: str = "off"  # off | sample | full
-    csv_threshold: int = 20
     sample_size: int = 20
 
     def __post_init__(self):
         if self.dropped_rows not in ("off", "sample", "full"):
             raise ValueError(f"dropped_rows must be off, sample or full, got {self.dropped_rows!r}")
-        if self.csv_threshold < 1:
-            raise ValueError("csv_threshold must be at least 1")
 
 
 ROW_ID = "__row_id"
@@ -323,14 +320,15 @@ def dropped_rows(raw: DataFrame, contract: dict, transform, *, timezone: str = "
 
 
 def report_dropped(dropped: DataFrame | None, diagnostics: Diagnostics, csv_path: str) -> dict:
-    """Number and sample of the dropped rows; all of them as CSV in full mode or above the threshold."""
+    """Number and sample of the dropped rows; all of them as CSV in full mode. The rows are worked out once."""
     if diagnostics.dropped_rows == "off" or dropped is None:
         return {}
+    dropped = materialize(dropped)
     count = dropped.count()
     if count == 0:
         return {}
     report = {"count": count, "sample": [r.asDict() for r in dropped.limit(diagnostics.sample_size).collect()]}
-    if diagnostics.dropped_rows == "full" or count > diagnostics.csv_threshold:
+    if diagnostics.dropped_rows == "full":
         dropped.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(csv_path)
         report["csv"] = csv_path
     return report

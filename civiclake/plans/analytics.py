@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from civiclake.functions.geo import board_borough, board_number
+from civiclake.functions.temporal import NEW_YORK, wall_time
 from civiclake.functions.numeric import filled, ratio, sum_components
 from civiclake.operators.ordering import top_per_group
 from civiclake.operators.unions import unpivot_values
@@ -46,12 +47,16 @@ def change_pct(col: str, order: str) -> Column:
     return ratio(F.col(col) - before, before, 1, 100)
 
 
+def total_of(col: str) -> Column:
+    """Sum of a column over the whole frame. Only for aggregates of a few rows: the window has a single partition."""
+    return F.sum(col).over(Window.partitionBy())
+
+
 def collisions_annual(collisions: DataFrame, since: int = 2013) -> DataFrame:
     """One row per year with casualties, rates and change against the year before."""
-    yearly = (collisions.where(F.col("crash_date").isNotNull())
+    yearly = (collisions.where(F.col("crash_date") >= F.make_date(F.lit(since), F.lit(1), F.lit(1)))
               .groupBy(F.year("crash_date").alias("crash_year"))
-              .agg(F.count("*").alias("total_crashes"), *_casualties())
-              .where(F.col("crash_year") >= since))
+              .agg(F.count("*").alias("total_crashes"), *_casualties()))
     vulnerable = F.col("pedestrians_killed") + F.col("cyclists_killed")
     return yearly.withColumns({
         "fatalities_per_10k_crashes": ratio(F.col("total_killed"), F.col("total_crashes"), 2, 10_000),
@@ -73,11 +78,10 @@ def collisions_by_borough_month(collisions: DataFrame) -> DataFrame:
 
 def contributing_factors(collisions: DataFrame) -> DataFrame:
     """Involvements, casualties and share per factor. The five factor columns are unpivoted in one
-    scan; the grand total is a scalar subquery over the factor columns, so no window gathers rows."""
+    scan; the grand total is summed over the result, which has one row per factor."""
     people = [f"number_of_persons_{o}" for o in OUTCOMES]
     factors = unpivot_values(collisions.select("collision_id", *people, *FACTOR_COLUMNS),
                              ["collision_id", *people], FACTOR_COLUMNS, value="factor").where(F.col("factor") != UNSPECIFIED)
-    everything = factors.select(F.count("*")).scalar()
     injured, killed = (_total(p) for p in people)
     return factors.groupBy(F.col("factor").alias("contributing_factor")).agg(
         F.count("*").alias("crash_involvements"),
@@ -85,7 +89,7 @@ def contributing_factors(collisions: DataFrame) -> DataFrame:
         F.round(injured, 0).alias("total_injured"), F.round(killed, 0).alias("total_killed"),
         ratio(injured, F.count("*"), 2, 100).alias("injury_rate_pct"),
         ratio(killed, F.count("*"), 2, 10_000).alias("fatality_rate_per_10k"),
-    ).withColumn("pct_of_all_involvements", ratio(F.col("crash_involvements"), everything, 2, 100)) \
+    ).withColumn("pct_of_all_involvements", ratio(F.col("crash_involvements"), total_of("crash_involvements"), 2, 100)) \
      .orderBy(F.desc("crash_involvements"))
 
 
@@ -167,7 +171,8 @@ def district_rankings(tonnage: DataFrame) -> DataFrame:
 
 def organics_rollout(tonnage: DataFrame, since: int = 2013) -> DataFrame:
     served = F.col(ORGANICS[0]) > 0
-    return (tonnage.withColumn("year", month_part("month", 1)).where(F.col("year") >= since)
+    # The bound on the stored text reaches the scan; the one on the parsed year refuses what is no year.
+    return (tonnage.where(F.col("month") >= str(since)).withColumn("year", month_part("month", 1)).where(F.col("year") >= since)
             .groupBy("borough", "year").agg(
                 F.countDistinct("community_district").alias("total_districts"),
                 F.countDistinct(F.when(served, F.col("community_district"))).alias("districts_with_res_organics"),
@@ -200,18 +205,20 @@ def ridership_by_year(ridership: DataFrame) -> DataFrame:
     return _ridership(ridership.groupBy(F.year("date").alias("year"), "mode"))
 
 
-def top_heat_properties(requests: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` properties with most heat complaints in each of the canonical community boards."""
+def top_heat_properties(requests: DataFrame, k: int = 10, tz: str = NEW_YORK) -> DataFrame:
+    """The ``k`` properties with most heat complaints in each of the canonical community boards; days and
+    months are those of ``tz``."""
     board = F.col("cb_number")
     heat = requests.where(F.col("complaint_type").isin(RESIDENTIAL_HEAT, OTHER_HEAT) & F.col("bbl").isNotNull()
                           & board.between(*BOARD_RANGE) & board_number(board).between(1, BOARDS_PER_BOROUGH))
-    day = F.to_date("created_date")
+    wall = wall_time(requests, "created_date", tz)
+    day = F.to_date(wall)
     per_property = heat.groupBy("cb_number", "bbl").agg(
         F.count("*").alias("heat_complaints"),
         F.count_if(F.col("complaint_type") == RESIDENTIAL_HEAT).alias("residential_heat"),
         F.count_if(F.col("complaint_type") == OTHER_HEAT).alias("non_residential_heat"),
         F.min(day).alias("first_complaint"), F.max(day).alias("last_complaint"),
-        F.countDistinct(F.date_trunc("month", "created_date")).alias("months_with_complaints"))
+        F.countDistinct(F.date_trunc("month", wall)).alias("months_with_complaints"))
     ranked = top_per_group(per_property, ["cb_number"], [F.desc("heat_complaints"), "bbl"], k, rank="rank_in_cb")
     return ranked.withColumns({"borough": board_borough(board), "cb_in_borough": board_number(board)}) \
         .orderBy("cb_number", "rank_in_cb")

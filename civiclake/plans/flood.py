@@ -67,9 +67,11 @@ def join_sensors(events: DataFrame, sensors: DataFrame, columns: list[str] = SEN
 
 
 def enrich_events(events: DataFrame, sensors: DataFrame, *, tz: str = NEW_YORK, null_is_severe: bool = True,
-                  sort: bool = True) -> DataFrame:
+                  sort: bool = False) -> DataFrame:
     """The enriched table: imputed times, severity, hydrological rates, calendar columns, flags and
-    profile measures, one row per event."""
+    profile measures, one row per event. Sensors listed twice would multiply events and are refused."""
+    if not duplicate_sensors(sensors).isEmpty():
+        raise ValueError("sensors are listed more than once; see duplicate_sensors")
     df = join_sensors(events, sensors)
     df = impute_interval(df, "flood_start_time", "flood_end_time", "duration_mins")
     if sort:

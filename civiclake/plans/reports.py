@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from civiclake.functions.classify import SEVERITIES, label_rank
 from civiclake.functions.numeric import ratio
+from civiclake.functions.temporal import NEW_YORK, wall_time
 from civiclake.operators.filters import contains_any
 from civiclake.operators.ordering import grouped_quantiles
 
@@ -41,7 +42,7 @@ def top_counts(df: DataFrame, keys: list, k: int | None = None, *, name: str = "
 def top_paying_agencies(payroll: DataFrame, year: int, k: int = 10) -> DataFrame:
     paid = F.col("regular_gross_paid") + F.col("total_ot_paid") + F.col("total_other_pay")
     return payroll.where(F.col("fiscal_year") == year).groupBy("agency_name").agg(
-        F.count("*").alias("workers"), F.round(F.sum(paid), 0).alias("total_pay")).orderBy(F.desc("total_pay")).limit(k)
+        F.count("*").alias("workers"), F.round(F.sum(paid), 0).alias("total_pay")).orderBy(F.desc("total_pay"), "agency_name").limit(k)
 
 
 def salary_quantiles(payroll: DataFrame, year: int) -> DataFrame:
@@ -206,15 +207,17 @@ def floods_and_complaints_by_zip(floods: DataFrame, requests: DataFrame, since:
         .orderBy(F.desc("flood_events"), "zipcode").limit(k)
 
 
-def _flood_days(floods: DataFrame, since: int, keys: list, *more: Column) -> DataFrame:
-    return _placed(floods, since).groupBy(F.to_date("flood_start_time").alias("day"), "borough", *keys).agg(_events(), *more)
+def _flood_days(floods: DataFrame, since: int, tz: str, *more: Column) -> DataFrame:
+    day = F.to_date(wall_time(floods, "flood_start_time", tz)).alias("day")
+    return _placed(floods, since).groupBy(day, "borough").agg(_events(), *more)
 
 
-def flood_days_and_next_day(floods: DataFrame, requests: DataFrame, since: int = 2024, least: int = 3, k: int = 20) -> DataFrame:
-    """Flood days with the complaints of the same and of the following day."""
-    days = _flood_days(floods, since, ["flood_year", "flood_month"], F.max("max_depth_inches").alias("max_depth"),
+def flood_days_and_next_day(floods: DataFrame, requests: DataFrame, since: int = 2024, least: int = 3, k: int = 20,
+                            tz: str = NEW_YORK) -> DataFrame:
+    """Flood days, by the calendar of ``tz``, with the complaints of the same and of the following day."""
+    days = _flood_days(floods, since, tz, F.min("flood_year").alias("flood_year"), F.min("flood_month").alias("flood_month"), F.max("max_depth_inches").alias("max_depth"),
                        F.max("flood_severity").alias("worst_severity")).where(F.col("flood_events") >= least)
-    asked = _complaints(_in_boroughs(requests), [F.to_date("created_date").alias("day"), _upper()], WATER_COMPLAINTS) \
+    asked = _complaints(_in_boroughs(requests), [F.to_date(wall_time(requests, "created_date", tz)).alias("day"), _upper()], WATER_COMPLAINTS) \
         .drop("total_311")
     following = asked.select(F.date_sub("day", 1).alias("day"), "match_borough",
                              F.col("water_complaints").alias("water_complaints_next_day"))
@@ -229,9 +232,9 @@ def worst_label(col: str, labels, *, by_rank: bool) -> Column:
     return F.max_by(F.col(col), label_rank(col, labels)) if by_rank else F.max(col)
 
 
-def flood_intensity(floods: DataFrame, requests: DataFrame, since: int = 2024) -> DataFrame:
-    days = _flood_days(floods, since, ["flood_year"])
-    asked = _complaints(_in_boroughs(requests), [F.to_date("created_date").alias("day"), _upper()], WATER_COMPLAINTS_WIDE)
+def flood_intensity(floods: DataFrame, requests: DataFrame, since: int = 2024, tz: str = NEW_YORK) -> DataFrame:
+    days = _flood_days(floods, since, tz)
+    asked = _complaints(_in_boroughs(requests), [F.to_date(wall_time(requests, "created_date", tz)).alias("day"), _upper()], WATER_COMPLAINTS_WIDE)
     events = F.col("flood_events")
     bucket = F.coalesce(*[F.when(events >= least, F.lit(name)) for least, name in INTENSITIES], F.lit(LOW_INTENSITY))
     return (days.withColumn("match_borough", F.upper("borough")).join(asked, ["day", "match_borough"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from civiclake.contracts import build_landing_schema
-from civiclake.sources.storage import (file_list, log, matches, partition_path, storage_report, write_by_columns,
+from civiclake.sources.storage import (file_list, has_file, log, matches, partition_path, storage_report, write_by_columns,
                                        write_partition)
 
 CORRUPT = "_corrupt_record"
@@ -46,8 +46,7 @@ def _reader(spark: SparkSession, root: str, **options):
 
 
 def _has_shards(spark: SparkSession, paths: list[str]) -> bool:
-    # A table, a year or a month folder: look up to two levels down.
-    return any(matches(spark, f"{p}{level}/*.csv*") for p in paths for level in ("", "/*", "/*/*"))
+    return any(has_file(spark, p, ".csv") for p in paths)
 
 
 def scan_landing(spark: SparkSession, root: str, keys: list[str] | None = None, *, contract: dict | None = None,

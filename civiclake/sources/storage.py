@@ -43,6 +43,19 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def has_file(spark: SparkSession, root: str, mark: str) -> bool:
+    """Whether a file with ``mark`` in its name lies anywhere below a directory; stops at the first."""
+    fs, hadoop = _resolve(spark, root)
+    if not fs.exists(hadoop):
+        return False
+    files = fs.listFiles(hadoop, True)
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if mark in name and name[0] not in "._":
+            return True
+    return False
+
+
 def child_names(spark: SparkSession, root: str) -> list[str]:
     """Sorted names directly under a directory; none when it does not exist."""
     fs, hadoop = _resolve(spark, root)

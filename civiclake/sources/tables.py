@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from civiclake.operators.unions import diagonal_concat
-from civiclake.sources.storage import log, matches, partition_path, partition_values, write_by_columns, write_partition
+from civiclake.sources.storage import has_file, log, partition_path, partition_values, write_by_columns, write_partition
 
 
 def write_table(df: DataFrame, root: str, key: str | None = None, **options) -> str:
@@ -35,7 +35,7 @@ def write_hive(df: DataFrame, root: str, timestamp_col: str | None = None, *, gr
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
-    return any(matches(spark, f"{path}{level}/*.parquet") for level in ("", "/*", "/*/*"))
+    return has_file(spark, path, ".parquet")
 
 
 def read_table(spark: SparkSession, root: str, keys: list[str] | None = None, *, merge_schema: bool = True) -> DataFrame:

@@ -234,6 +234,6 @@ def test_profiles(frame):
 def test_layout_and_dedup(frame):
     df = frame("id string, val int, note string", ("A", 20, "x"), ("A", 10, "y"), ("B", 30, "z"), ("B", None, "w"))
     assert reorder_columns(df, ["note", "absent", "val"]).columns == ["note", "val", "id"]
-    made = add_duplicate_markers(df, key_cols=["id"], rank_col="val").orderBy("id", "val")
+    made = add_duplicate_markers(df, key_cols=["id"], rank_col="val", tiebreak=[]).orderBy("id", "val")
     assert [(r.id, r.val, r._dedup_count, r._dedup_rank) for r in made.collect()] == [("A", 10, 2, 2), ("A", 20, 2, 1), ("B", None, 2, None), ("B", 30, 2, 1)]
     assert dict(made.dtypes)["_dedup_rank"] == "int"

@@ -239,7 +239,7 @@ def _(s):
     contract = {"o_orderkey": ("o_orderkey", "bigint"), "o_totalprice": ("o_totalprice", "double")}
     gone = quality.dropped_rows(s.orders.select("o_orderkey", "o_totalprice"), contract, lambda df: df.where("o_totalprice >= 50000"))
     path = s.dir("dropped")
-    report = quality.report_dropped(gone, quality.Diagnostics(dropped_rows="sample"), path)
+    report = quality.report_dropped(gone, quality.Diagnostics(dropped_rows="full"), path)
     assert len(report["sample"]) == 20 and report["csv"] == path
     stored = s.spark.read.schema("o_orderkey bigint, o_totalprice double").csv(path, header=True)
     return stored.withColumn("dropped", F.lit(report["count"]).cast("bigint"))

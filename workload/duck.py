@@ -45,8 +45,8 @@ def whole_number(text: str, kind: str = "BIGINT") -> str:
 
 
 def truth(text: str) -> str:
-    return (f"CASE WHEN trim(lower({text})) IN ('1','t','true','y','yes') THEN true "
-            f"WHEN trim(lower({text})) IN ('0','f','false','n','no') THEN false END")
+    word = f"regexp_replace(lower({text}), '^\\s+|\\s+$', '', 'g')"
+    return f"CASE WHEN {word} IN ('1','t','true','y','yes') THEN true WHEN {word} IN ('0','f','false','n','no') THEN false END"
 
 
 def pad(text: str, width: int) -> str:

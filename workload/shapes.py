@@ -224,7 +224,7 @@ _SQL: dict[str, str] = {
                     WHEN 5 THEN '-' || CAST(l_partkey AS STRING)
                     WHEN 6 THEN 'n/a'
                     ELSE '99999999999999999999' END AS quantity_text,
-               {_choose('l_partkey % 15', '1', 't', 'TRUE', ' yes ', 'Y', '0', 'f', 'False', 'NO', 'n', 'maybe', '', None, '100', '-5')} AS flag_text
+               {_choose('l_partkey % 18', '1', 't', 'TRUE', ' yes ', 'Y', '0', 'f', 'False', 'NO', 'n', 'maybe', '', None, '100', '-5', "('yes' || chr(13))", "(chr(9) || 'no')", "(chr(9) || 'True' || chr(10))")} AS flag_text
         FROM {{lineitem}}""",
     "dated_text": f"""
         SELECT o_orderkey, o_custkey, o_orderdate,
