@@ -3,7 +3,7 @@
 Pages with a label give outcomes (bad or not). The bad share of a host is shrunk through beta-binomial
 priors: the suffix towards the share of all labelled pages, the registered domain towards its suffix, the
 host towards its domain. The strength of each prior is estimated by the method of moments from the spread
-of the units below it. A page is blocked if the lower posterior bound of its host's bad share (mean less
+of the units below it; it is never less than two pages, nor more than what is known of the level above. A page is blocked if the lower posterior bound of its host's bad share (mean less
 ``z`` standard deviations) lies above ``threshold``; hosts without labels inherit the posterior mean of the
 nearest level that has some, and the bound then rests on that level's own posterior.
 Explicit rules (host, path, verdict) go first; the longest that fits decides.
@@ -69,7 +69,7 @@ def levels(host: Column) -> tuple[Column, Column]:
     return domain, suffix
 
 
-def _strength(units: DataFrame, low: float = 1.0, high: float = 1000.0) -> DataFrame:
+def _strength(units: DataFrame, low: float = 2.0, high: float = 1000.0) -> DataFrame:
     """One row: size of the beta prior of units (n, bad, prior mean m), by moments.
 
     With p = bad / n, the scaled spread sum(n (p - m)^2 / (m (1 - m))) of k units has the expectation
@@ -83,8 +83,8 @@ def _strength(units: DataFrame, low: float = 1.0, high: float = 1000.0) -> DataF
 
 
 def _posterior(units: DataFrame) -> DataFrame:
-    """Adds the posterior (a, b) of units that carry n, bad and the prior mean m."""
-    return (units.withColumn("size", _strength(units).scalar())
+    """Adds the posterior (a, b) of units that carry n, bad, the prior mean m and its weight ``known``, in pages."""
+    return (units.withColumn("size", F.least(_strength(units).scalar(), F.col("known")))
             .withColumn("a", F.col("bad") + F.col("size") * F.col("m"))
             .withColumn("b", F.col("n") - F.col("bad") + F.col("size") * (1 - F.col("m"))))
 
@@ -103,11 +103,11 @@ def reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     by_suffix = by_domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     overall = by_suffix.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1)).alias("m0"), F.sum("n").alias("n0"))
 
-    suffixes = _posterior(by_suffix.withColumn("m", overall.select("m0").scalar()))
+    suffixes = _posterior(by_suffix.withColumns({"m": overall.select("m0").scalar(), "known": overall.select("n0").scalar() + 1}))
     suffixes = suffixes.select("suffix", F.col("a").alias("sa"), F.col("b").alias("sb"), _mean().alias("sm"))
-    domains = _posterior(by_domain.join(suffixes, "suffix").withColumn("m", F.col("sm")))
+    domains = _posterior(by_domain.join(suffixes, "suffix").withColumns({"m": F.col("sm"), "known": F.col("sa") + F.col("sb")}))
     domains = domains.select("domain", "suffix", F.col("a").alias("da"), F.col("b").alias("db"), _mean().alias("dm"))
-    own = _posterior(counts.join(domains, ["domain", "suffix"]).withColumn("m", F.col("dm")))
+    own = _posterior(counts.join(domains, ["domain", "suffix"]).withColumns({"m": F.col("dm"), "known": F.col("da") + F.col("db")}))
     own = own.select("host", F.col("a").alias("ha"), F.col("b").alias("hb"))
 
     share = F.coalesce(overall.select("m0").scalar(), F.lit(0.5))
@@ -120,7 +120,7 @@ def reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
         F.coalesce("hb", "db", "sb", (1 - share) * labelled + 0.5).alias("b"))
 
 
-def filter_urls(pages: DataFrame, labels: DataFrame, threshold: float = 0.5, z: float = 1.0, rules=RULES) -> DataFrame:
+def filter_urls(pages: DataFrame, labels: DataFrame, threshold: float = 0.5, z: float = 1.645, rules=RULES) -> DataFrame:
     """Host, path, rule and verdict of every page.
 
     ``pages`` has page_id and url; ``labels`` has doc_id (the page's id), quality and toxic. A labelled page
@@ -175,20 +175,20 @@ hosts as (select host, domain, suffix, count(*)::double n, sum(bad)::double bad
 domains as (select domain, suffix, sum(n) n, sum(bad) bad from hosts group by all),
 suffixes as (select suffix, sum(n) n, sum(bad) bad from domains group by all),
 overall as (select (sum(bad) + 0.5) / (sum(n) + 1) m0, coalesce(sum(n), 0) n0 from suffixes),
-size1 as (select coalesce(case when sum(n - 1) filter (v > 0) > 0 then 1 / greatest(1.0 / 1001, least(0.5,
+size1 as (select coalesce(case when sum(n - 1) filter (v > 0) > 0 then 1 / greatest(1.0 / 1001, least(1.0 / 3,
     (sum(n * (bad / n - m) ** 2 / v) filter (v > 0) - count(*) filter (v > 0)) / sum(n - 1) filter (v > 0))) - 1 end, 1000.0) size
   from (select *, m0 m, m0 * (1 - m0) v from suffixes, overall)),
-post1 as (select suffix, bad + size * m0 a, n - bad + size * (1 - m0) b from suffixes, overall, size1),
-under1 as (select d.*, a / (a + b) m from domains d join post1 using (suffix)),
-size2 as (select coalesce(case when sum(n - 1) filter (v > 0) > 0 then 1 / greatest(1.0 / 1001, least(0.5,
+post1 as (select suffix, bad + least(size, n0 + 1) * m0 a, n - bad + least(size, n0 + 1) * (1 - m0) b from suffixes, overall, size1),
+under1 as (select d.*, a / (a + b) m, a + b known from domains d join post1 using (suffix)),
+size2 as (select coalesce(case when sum(n - 1) filter (v > 0) > 0 then 1 / greatest(1.0 / 1001, least(1.0 / 3,
     (sum(n * (bad / n - m) ** 2 / v) filter (v > 0) - count(*) filter (v > 0)) / sum(n - 1) filter (v > 0))) - 1 end, 1000.0) size
   from (select *, m * (1 - m) v from under1)),
-post2 as (select domain, bad + size * m a, n - bad + size * (1 - m) b from under1, size2),
-under2 as (select h.*, a / (a + b) m from hosts h join post2 using (domain)),
-size3 as (select coalesce(case when sum(n - 1) filter (v > 0) > 0 then 1 / greatest(1.0 / 1001, least(0.5,
+post2 as (select domain, bad + least(size, known) * m a, n - bad + least(size, known) * (1 - m) b from under1, size2),
+under2 as (select h.*, a / (a + b) m, a + b known from hosts h join post2 using (domain)),
+size3 as (select coalesce(case when sum(n - 1) filter (v > 0) > 0 then 1 / greatest(1.0 / 1001, least(1.0 / 3,
     (sum(n * (bad / n - m) ** 2 / v) filter (v > 0) - count(*) filter (v > 0)) / sum(n - 1) filter (v > 0))) - 1 end, 1000.0) size
   from (select *, m * (1 - m) v from under2)),
-post3 as (select host, bad + size * m a, n - bad + size * (1 - m) b from under2, size3),
+post3 as (select host, bad + least(size, known) * m a, n - bad + least(size, known) * (1 - m) b from under2, size3),
 placed as (
   select named.host,
     coalesce(post3.a, post2.a, post1.a, coalesce(m0, 0.5) * n0 + 0.5) a,
@@ -205,6 +205,6 @@ ruled as (
 select page_id, host, path,
   case when r1 then 'www.example.com/en/' when r2 then 'example.com/en/' when r3 then 'net/es/' when r4 then 'net/fr/' when r5 then 'com/' end rule,
   case when r1 then 'allow' when r2 then 'block' when r3 then 'block' when r4 then 'block' when r5 then 'allow'
-    when a / (a + b) - 1.0 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5 then 'block' else 'allow' end verdict
+    when a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5 then 'block' else 'allow' end verdict
 from ruled join placed using (host)
 """
