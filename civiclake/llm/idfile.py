@@ -3,13 +3,13 @@
 A file holds the ids of consecutive documents. Layout, all numbers little-endian:
 
 * ``CIDS1\\0\\0\\0`` (8 bytes);
-* chunks, one per block of ``BLOCK`` ids (the last may be shorter): a uint32 with the number of ids, one byte
+* chunks, one per block of ids (the last may be shorter): a uint32 with the number of ids, one byte
   with the number of planes, a uint32 length per plane, then the planes. Plane p packs bit p of every id, the
   first id in the lowest bit, compressed by zstd; planes above the highest set bit of the block are absent;
 * the document table, zstd-compressed: int64 triples (doc_id, first id in the file, number of ids);
 * the chunk index, zstd-compressed: uint64 file offsets of the chunks;
-* the tail of 48 bytes: documents, chunks, ids of the file (uint64 each), the packed lengths of the document
-  table and the chunk index (uint64 each), then the magic again.
+* the tail of 56 bytes, uint64 each: documents, chunks, ids of the file, the packed lengths of the document table
+  and of the chunk index, the ids of a whole block; then the magic again.
 
 A reader finds the chunks of any document from the tail and the index alone.
 
@@ -30,7 +30,6 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +42,9 @@ from civiclake.llm.files import Writer, make_folder, open_file
 from civiclake.llm.pieces import Memo, pieces
 
 MAGIC = b"CIDS1\0\0\0"
+#: Ids of a block.
 BLOCK = 1 << 16
+_TAIL = struct.Struct("<6Q8s")
 #: Stands for a null doc_id in the document table.
 NO_ID = -(1 << 63)
 
@@ -73,7 +74,8 @@ def unpack_block(chunk: bytes) -> np.ndarray:
 class FileWriter:
     """Appends documents to one file."""
 
-    def __init__(self, folder: str, name: str):
+    def __init__(self, folder: str, name: str, block: int = BLOCK):
+        self.block = block
         self.out = Writer(folder, name)
         self.out.write(MAGIC)
         self.docs: list[tuple[int, int, int]] = []
@@ -85,15 +87,15 @@ class FileWriter:
         self.ids += len(ids)
         self.waiting.append(ids)
         self.held += len(ids)
-        if self.held >= BLOCK:
+        if self.held >= self.block:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
         ids = np.concatenate(self.waiting) if self.waiting else np.empty(0, np.uint32)
-        whole = len(ids) if last else len(ids) - len(ids) % BLOCK
-        for k in range(0, whole, BLOCK):
+        whole = len(ids) if last else len(ids) - len(ids) % self.block
+        for k in range(0, whole, self.block):
             self.chunks.append(self.out.size)
-            self.out.write(pack_block(ids[k: min(k + BLOCK, whole)]))
+            self.out.write(pack_block(ids[k: min(k + self.block, whole)]))
         self.waiting, self.held = [ids[whole:]], len(ids) - whole
 
     def close(self) -> None:
@@ -101,7 +103,7 @@ class FileWriter:
         packer = zstandard.ZstdCompressor(level=3)
         docs = packer.compress(np.array(self.docs, "<i8").tobytes())
         index = packer.compress(np.array(self.chunks, "<u8").tobytes())
-        self.out.write(docs + index + struct.pack("<5Q", len(self.docs), len(self.chunks), self.ids, len(docs), len(index)) + MAGIC)
+        self.out.write(docs + index + _TAIL.pack(len(self.docs), len(self.chunks), self.ids, len(docs), len(index), self.block, MAGIC))
         self.out.close()
 
 
@@ -110,17 +112,16 @@ class FileReader:
 
     def __init__(self, file):
         self.file, size = file, file.size()
-        file.seek(size - 48)
-        tail = file.read(48)
-        if tail[40:] != MAGIC:
+        file.seek(size - _TAIL.size)
+        n_docs, _, self.ids, docs, index, self.block, magic = _TAIL.unpack(file.read(_TAIL.size))
+        if magic != MAGIC:
             raise ValueError("not a token-id file, or a truncated one")
-        n_docs, n_chunks, self.ids, docs, index = struct.unpack("<5Q", tail[:40])
-        file.seek(size - 48 - docs - index)
+        file.seek(size - _TAIL.size - docs - index)
         packed = file.read(docs + index)
         reader = zstandard.ZstdDecompressor()
         self.docs = np.frombuffer(reader.decompress(packed[:docs]), "<i8").reshape(n_docs, 3)
         starts = np.frombuffer(reader.decompress(packed[docs:]), "<u8").astype(np.int64)
-        self.chunks = np.append(starts, size - 48 - docs - index)
+        self.chunks = np.append(starts, size - _TAIL.size - docs - index)
 
     def chunk(self, k: int) -> np.ndarray:
         self.file.seek(int(self.chunks[k]))
@@ -131,9 +132,9 @@ class FileReader:
         _, first, n = (int(x) for x in self.docs[row])
         if not n:
             return np.empty(0, np.uint32)
-        low = first // BLOCK
-        ids = np.concatenate([self.chunk(k) for k in range(low, (first + n - 1) // BLOCK + 1)])
-        return ids[first - low * BLOCK: first - low * BLOCK + n]
+        low = first // self.block
+        ids = np.concatenate([self.chunk(k) for k in range(low, (first + n - 1) // self.block + 1)])
+        return ids[first - low * self.block: first - low * self.block + n]
 
     def __iter__(self) -> Iterator[tuple[int | None, np.ndarray]]:
         """All documents in order; every chunk is read once."""
@@ -155,7 +156,7 @@ def _worker(path: str) -> tuple[Bpe, Memo]:
     return bpe, Memo(lambda piece: np.array(bpe.encode_piece(piece), "<u4").tobytes())
 
 
-def write(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> DataFrame:
+def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, block: int = BLOCK) -> DataFrame:
     """Writes the ids of all documents (doc_id, text) into ``folder``; one row per file: path, part, ids."""
     small_batches(docs.sparkSession)
     placed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("size", F.length("text"))
@@ -166,7 +167,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 1) -> DataFrame
         part, end, out = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes(), None
         name = f"part-{part:06d}.ids"
         for batch in blocks(batches):
-            out = out or FileWriter(folder, name)
+            out = out or FileWriter(folder, name, block)
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 out.add(doc_id, np.frombuffer(b"".join(map(known.__getitem__, pieces(text, bpe.special))) + end, "<u4"))
         if out:
