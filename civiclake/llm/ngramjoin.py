@@ -10,13 +10,15 @@ Two nodes link when ``100 * intersection >= percent * union``.
 2. Each set writes the first tokens of its order, the prefix. Sets that link share at least k tokens of their
    prefixes (:func:`prefix`, :func:`shared`). Tokens that one set alone holds are dropped.
 3. Partition: a set joins the group of the set with which it shares most prefix tokens, out of the smallest set
-   of each token. Group members are compared with the leaders found so far; linked ones become one component.
-   A large group is dealt into parts, each with the group's centre.
-4. Token-group matrix: the distinct (token, component) pairs of the prefixes. A set's count of common tokens
-   with another component bounds its overlap with every member; only components that reach k are opened. An
-   opened component's members form a union of whole sets that must hold percent of the set; only then are the
-   members compared, until one links. Members of a component are never compared with each other again, so
-   a group of n copies costs n rows, not n^2.
+   of each token. A group is dealt into units of bounded size, each with the group's centre. In a unit, members
+   are compared with a few leaders, those first whose tokens are most common in the unit; whatever stays outside
+   the largest component is compared with all members of the unit by its tokens' postings.
+4. Token-group matrix: the distinct (token, unit) pairs of the prefixes, with the components they stand for. A
+   set's count of tokens in common with a unit, but not with its own component alone, bounds its overlap with
+   every member; only units that reach k are opened. Of two components the smaller one asks, so a large
+   component never asks. An opened unit's union of whole sets must hold percent of the set; only then its
+   members are counted out. A component's members are never compared with each other again, so a group of n
+   copies costs n rows, not n^2.
 5. Components over all links; every document gets its component's smallest doc_id.
 
 Contract: one row per input row. Null, empty and blank texts have empty sets and link with nothing; a null
@@ -38,10 +40,10 @@ from civiclake.llm.common import blocks, buffers, materialise, mix, small_batche
 from civiclake.llm.components import components
 
 _BINS = 20
-#: Tokens of the sets that one task of the group stage holds.
-PART = 1 << 20
-#: Leaders with which a member of a group is compared; links that are missed so are found by the matrix.
-LEADERS = 32
+#: Tokens and sets of a unit, about.
+PART, MEMBERS = 1 << 20, 4096
+#: Leaders with which a member of a unit is compared before the exact pass.
+LEADERS = 8
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -96,23 +98,6 @@ def digest(tokens: np.ndarray) -> int:
     return int(mix(total[:1] * _STEP + mix(total[1:])).view(np.int64)[0])
 
 
-def _overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Common tokens of two sorted sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = len(b) - 1
-    return int(np.count_nonzero(b[at] == a))
-
-
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    n, m = len(a), len(b)
-    if 100 * min(n, m) < percent * max(n, m):
-        return False
-    common = _overlap(a, b)
-    return 100 * common >= percent * (n + m - common)
-
-
 def _survey(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n, sig) per document, and (bin, weight) for tokens that are common within a task."""
 
@@ -190,70 +175,120 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "sig long, n int, tokens binary")
 
 
-def _groups(kept: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """Links found inside the groups, as (a, b)."""
+class _Postings:
+    """Sets of a unit with their tokens' postings."""
+
+    def __init__(self, names: list[int], tokens: list[np.ndarray]):
+        self.names, self.tokens = names, tokens
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        every = np.concatenate(tokens)
+        order = np.argsort(every, kind="stable")
+        self.every, self.owner = every[order], np.repeat(np.arange(len(names)), self.sizes)[order]
+
+    def centrality(self) -> np.ndarray:
+        """Mean number of sets of the unit that hold a token of each set."""
+        counts = np.searchsorted(self.every, self.every, "right") - np.searchsorted(self.every, self.every, "left")
+        return np.bincount(self.owner, counts, len(self.names)) / self.sizes
+
+    def links(self, tokens: np.ndarray, percent: int) -> np.ndarray:
+        """Places of all sets that link to the given one."""
+        low, high = np.searchsorted(self.every, tokens), np.searchsorted(self.every, tokens, "right")
+        count = high - low
+        if 100 * np.count_nonzero(count) < percent * len(tokens):  # the union holds too little of it
+            return np.empty(0, np.int64)
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        common = np.bincount(self.owner[at], minlength=len(self.names))
+        return np.flatnonzero(100 * common >= percent * (len(tokens) + self.sizes - common))
+
+
+def _root(parent: list[int], k: int) -> int:
+    while parent[k] != k:
+        parent[k] = k = parent[parent[k]]
+    return k
+
+
+def _units(kept: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(sig, n, unit) of every set, and (unit, sig) of all places where a set is compared."""
+    sizes = kept.select("sig", "n").distinct()
     centre = kept.select("sig", "n", F.col("first").alias("centre")).where("sig <> centre")
     centre = centre.groupBy("sig", "n", "centre").agg(F.count("*").alias("common")).where(F.col("common") >= _shared_column(F.col("n"), percent))
     best = centre.groupBy("sig", "n").agg(F.max(F.struct("common", "centre")).alias("best")).select("sig", "n", F.col("best.centre").alias("centre"))
-    parts = best.groupBy("centre").agg(F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
-    members = best.join(parts, "centre").select("centre", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int").alias("part"), "sig", F.lit(False).alias("is_centre"))
-    centres = parts.select("centre", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("centre").alias("sig"), F.lit(True).alias("is_centre"))
-    rows = members.unionByName(centres).join(whole.select("sig", "tokens"), "sig")
-
-    def lead(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["is_centre", "sig"], ascending=[False, True])
-        leaders: list[tuple[int, np.ndarray]] = []
-        links = []
-        for sig, raw in zip(group["sig"].tolist(), group["tokens"]):
-            tokens, found = np.frombuffer(raw, np.uint64), False
-            for k, (name, other) in enumerate(leaders[:LEADERS]):
-                if linked(tokens, other, percent):
-                    links.append((sig, name))
-                    found = True
-            if not found:
-                leaders.append((sig, tokens))
+    parts = best.groupBy("centre").agg(F.greatest(F.ceil(F.sum("n") / PART), F.ceil(F.count("*") / MEMBERS)).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")
+    members = best.join(parts, "centre").select("sig", F.xxhash64("centre", part).alias("unit"))
+    middle = parts.select(F.col("centre").alias("sig"), "parts")
+    homes = middle.select("sig", F.xxhash64("sig", part).alias("home"))
+    units = sizes.join(members, "sig", "left").join(homes, "sig", "left").select("sig", "n", F.coalesce("unit", "home", F.xxhash64("sig")).alias("unit"))
+    places = middle.select("sig", F.explode(F.expr("sequence(0, parts - 1)")).alias("part")).select(F.xxhash64("sig", "part").alias("unit"), "sig")
+    return units, places.unionByName(members.select("unit", "sig"))
+
+
+def _inside(places: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what links inside the units."""
+
+    def connect(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("sig").sort_values("sig")
+        unit = _Postings(group["sig"].tolist(), [np.frombuffer(t, np.uint64) for t in group["tokens"]])
+        parent = list(range(len(unit.names)))
+        links: list[tuple[int, int]] = []
+
+        def join(a: int, b: int) -> None:
+            x, y = _root(parent, a), _root(parent, b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                links.append((unit.names[a], unit.names[b]))
+
+        leaders: list[int] = []
+        for k in np.argsort(-unit.centrality(), kind="stable").tolist():
+            if len(leaders) >= LEADERS:
+                break
+            if not any(_root(parent, k) == _root(parent, leader) for leader in leaders):
+                leaders.append(k)
+                for other in unit.links(unit.tokens[k], percent).tolist():
+                    join(k, other)
+        roots = np.array([_root(parent, k) for k in range(len(parent))])
+        largest = np.bincount(roots).argmax()
+        for k in np.flatnonzero(roots != largest).tolist():
+            for other in unit.links(unit.tokens[k], percent).tolist():
+                join(k, other)
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
-    return rows.select("centre", "part", "sig", "is_centre", "tokens").groupBy("centre", "part").applyInPandas(lead, "a long, b long")
+    rows = places.join(whole.select("sig", "tokens"), "sig").select("unit", "sig", "tokens")
+    return rows.groupBy("unit").applyInPandas(connect, "a long, b long")
 
 
-def _opened(kept: DataFrame, whole: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Links between components: the matrix, its bound, and the comparison in the components that reach it."""
-    placed = kept.select("token", "sig", "n").join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    matrix = placed.groupBy("token", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    query = placed.select("token", "sig", "n", F.col("label").alias("own"))
-    # Of two components, the members of the one with the smaller name ask the other.
-    hits = (query.join(matrix, "token").where("own < label")
+def _opened(kept: DataFrame, whole: DataFrame, units: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components: the matrix, its bound, and the comparison in the units that reach it."""
+    named = units.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    named = materialise(named.join(named.groupBy("label").agg(F.count("*").alias("size")), "label").select("sig", "unit", F.struct("size", "label").alias("comp")), "units")
+    placed = kept.select("token", "sig", "n").join(named, "sig")
+    matrix = placed.groupBy("token", F.col("unit").alias("asked")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("comp").alias("top"))
+    # A component asks only where a greater one, by size and name, holds the token; one of any two does.
+    hits = (placed.join(matrix, "token").where("unit <> asked and comp < top")
             .where((F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)))
-    asked = (hits.groupBy("sig", "n", "label").agg(F.count("*").alias("common")).where(F.col("common") >= _shared_column(F.col("n"), percent))
-             .select("sig", "n", "label"))
+    asked = (hits.groupBy("sig", "n", "asked").agg(F.count("*").alias("common")).where(F.col("common") >= _shared_column(F.col("n"), percent))
+             .select("sig", "n", "asked"))
     asked = materialise(asked, "asked")
-    members = (whole.select("sig", F.col("n").alias("size")).join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-               .join(asked.select("label").distinct(), "label", "left_semi"))
-    of_members = members.groupBy("label").agg(F.ceil(F.sum("size") / PART).cast("int").alias("rows"))
-    of_queries = asked.groupBy("label").agg(F.ceil(F.sum("n") / PART).cast("int").alias("columns"))
-    sizes = of_members.join(of_queries, "label")
-    deal = lambda n: F.pmod(F.xxhash64("sig"), F.col(n)).cast("int")
-    each = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
-    left = members.join(sizes, "label").select("label", "sig", deal("rows").alias("i"), each("columns").alias("j"), F.lit(True).alias("member"))
-    right = asked.join(sizes, "label").select("label", "sig", "rows", deal("columns").alias("j"))
-    right = right.select("label", "sig", each("rows").alias("i"), "j", F.lit(False).alias("member"))
-    rows = left.unionByName(right).join(whole.select("sig", "tokens"), "sig")
+    columns = asked.groupBy("asked").agg(F.greatest(F.ceil(F.sum("n") / PART), F.ceil(F.count("*") / MEMBERS)).cast("int").alias("columns"))
+    left = named.select("sig", F.col("unit").alias("asked"), F.col("comp.label").alias("label")).join(columns, "asked")
+    left = left.select("asked", F.explode(F.expr("sequence(0, columns - 1)")).alias("column"), "sig", "label")
+    right = asked.join(columns, "asked").join(named.select("sig", F.col("comp.label").alias("label")), "sig")
+    right = right.select("asked", F.pmod(F.xxhash64("sig"), F.col("columns")).cast("int").alias("column"), "sig", "label")
+    rows = left.withColumn("member", F.lit(True)).unionByName(right.withColumn("member", F.lit(False))).join(whole.select("sig", "tokens"), "sig")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        sets_of = [[(s, np.frombuffer(t, np.uint64)) for s, t in zip(half["sig"].tolist(), half["tokens"])]
-                   for half in (group[group["member"]], group[~group["member"]])]
-        union = np.unique(np.concatenate([t for _, t in sets_of[0]]))
+        members, queries = group[group["member"]], group[~group["member"]]
+        unit = _Postings(members["sig"].tolist(), [np.frombuffer(t, np.uint64) for t in members["tokens"]])
+        labels = members["label"].to_numpy()
         links = []
-        for sig, tokens in sets_of[1]:
-            if 100 * _overlap(tokens, union) < percent * len(tokens):
-                continue
-            match = next((name for name, other in sets_of[0] if linked(tokens, other, percent)), None)
-            if match is not None:
-                links.append((sig, match))
+        for sig, label, raw in zip(queries["sig"].tolist(), queries["label"], queries["tokens"]):
+            found = unit.links(np.frombuffer(raw, np.uint64), percent)
+            found = found[labels[found] != label]
+            for k in np.unique(labels[found], return_index=True)[1]:
+                links.append((sig, unit.names[found[k]]))
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
-    return rows.groupBy("label", "i", "j").applyInPandas(compare, "a long, b long")
+    return rows.select("asked", "column", "sig", "label", "member", "tokens").groupBy("asked", "column").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -273,10 +308,11 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85) -> DataF
 
     wanted = nodes.join(able, "sig").groupBy("sig").agg(F.min("doc_id").alias("of"))
     whole = materialise(_whole_sets(docs, wanted, width), "sets")
-    inside = materialise(_groups(kept, whole, percent), "inside")
-    labels = components(inside)
-    between = materialise(_opened(kept, whole, labels, percent), "between")
-    # The links inside groups enter as (set, label), so the second run starts from finished components.
+    units, places = _units(kept, percent)
+    units = materialise(units, "units")
+    labels = components(materialise(_inside(places, whole, percent), "inside"))
+    between = materialise(_opened(kept, whole, units, labels, percent), "between")
+    # The links inside units enter as (set, label), so the second run starts from finished components.
     labels = components(labels.select(F.col("sig").alias("a"), F.col("label").alias("b")).unionByName(between))
 
     placed = nodes.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
