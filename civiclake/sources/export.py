@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 EXPORT_FORMATS = ("parquet", "csv", "json")
 
 
-def export(df: DataFrame, name: str, fmt: str = "csv", output_dir: str = "data/exports") -> str:
+def export(df: DataFrame, name: str, fmt: str, output_dir: str) -> str:
     """Write a result as ``output_dir/name.fmt`` and return the path."""
     if fmt not in EXPORT_FORMATS:
         raise ValueError(f"unknown export format {fmt!r}")
@@ -21,8 +21,7 @@ def export(df: DataFrame, name: str, fmt: str = "csv", output_dir: str = "data/e
     return path
 
 
-def run_sql_folder(spark: SparkSession, folder: str, fmt: str = "parquet",
-                   output_dir: str = "data/exports") -> dict[str, DataFrame]:
+def run_sql_folder(spark: SparkSession, folder: str, fmt: str, output_dir: str) -> dict[str, DataFrame]:
     """Run the ``.sql`` files of a folder in name order (blank ones skipped), export each result and
     return a frame reading each export."""
     source = Path(folder)

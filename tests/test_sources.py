@@ -149,7 +149,7 @@ def test_sql_folder(spark, tmp_path):
     results = export.run_sql_folder(spark, str(tmp_path), "json", str(tmp_path / "out"))
     assert {k: v.first().x for k, v in results.items()} == {"a": 1, "b": 2} and list(results) == ["a", "b"]
     with pytest.raises(FileNotFoundError):
-        export.run_sql_folder(spark, str(tmp_path / "none"))
+        export.run_sql_folder(spark, str(tmp_path / "none"), "csv", str(tmp_path / "out"))
 
 
 XML = ("<response><status><result>{0}</result><messages><message><description>bad key</description></message></messages></status><result_records>"

@@ -1,5 +1,8 @@
 """K: tables and columns by name, joined with what the test tables hold."""
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from civiclake import contracts
@@ -10,24 +13,28 @@ from workload.registry import query
 _TABLES = ["customer", "nation", "orders", "part"]
 
 
+@contextmanager
 def _store(s, schema):
-    """A schema holding copies of some test tables, in the shared folder."""
-    name = f"{schema}_{s.dir('k')[-10:]}"
+    """A schema of external tables over the given files, dropped again; frames made of them stay readable."""
+    name = f"{schema}_{uuid.uuid4().hex[:10]}"
     s.spark.sql(f"CREATE DATABASE {name} LOCATION '{s.dir(name)}'")
-    for t in _TABLES:
-        getattr(s, t).write.saveAsTable(f"{name}.{t}")
-    return name
+    try:
+        for t in _TABLES:
+            s.spark.catalog.createTable(f"{name}.{t}", path=f"{s.sf_dir}/{t}.parquet", source="parquet")
+        yield name
+    finally:
+        s.spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 @query("K01_list_tables", "SELECT * FROM (SELECT 'customer' AS name, 5 AS columns, count(*) AS n FROM customer UNION ALL SELECT 'nation', 3, count(*) FROM nation "
        "UNION ALL SELECT 'orders', 6, count(*) FROM orders UNION ALL SELECT 'part', 6, count(*) FROM part)")
 def _(s):
-    schema = _store(s, "listing")
-    listed = catalog.list_tables(s.spark, schema).where(F.col("schema") == schema).select("name", "columns")
-    counts = [s.spark.table(f"{schema}.{t}").agg(F.count("*").alias("n")).withColumn("name", F.lit(t)) for t in _TABLES]
-    from civiclake.operators.unions import vertical_concat
+    with _store(s, "listing") as schema:
+        listed = catalog.list_tables(s.spark, schema).where(F.col("schema") == schema).select("name", "columns")
+        counts = [s.spark.table(f"{schema}.{t}").agg(F.count("*").alias("n")).withColumn("name", F.lit(t)) for t in _TABLES]
+        from civiclake.operators.unions import vertical_concat
 
-    return listed.join(vertical_concat(counts), "name")
+        return listed.join(vertical_concat(counts), "name")
 
 
 @query("K02_list_stored_tables", "SELECT 'customer' AS \"table\", 3 AS files, true AS sized, (SELECT count(*) FROM customer) AS n UNION ALL SELECT 'supplier', 1, true, (SELECT count(*) FROM supplier)")
@@ -45,21 +52,21 @@ def _(s):
     JOIN (SELECT unnest(['c_custkey','c_name','c_nationkey','c_acctbal','c_mktsegment']) AS column_name,
                  unnest([count(DISTINCT c_custkey), count(DISTINCT c_name), count(DISTINCT c_nationkey), count(DISTINCT c_acctbal), count(DISTINCT c_mktsegment)]) AS n FROM customer) USING (column_name)""")
 def _(s):
-    schema = _store(s, "describing")
-    assert catalog.describe(s.spark, f"{schema}.unknown").isEmpty()
-    names = s.customer.columns
-    counts = s.customer.agg(*[F.countDistinct(c).alias(c) for c in names]).unpivot([], names, "column_name", "n")
-    return catalog.describe(s.spark, f"{schema}.customer").join(counts, "column_name")
+    with _store(s, "describing") as schema:
+        assert catalog.describe(s.spark, f"{schema}.unknown").isEmpty()
+        names = s.customer.columns
+        counts = s.customer.agg(*[F.countDistinct(c).alias(c) for c in names]).unpivot([], names, "column_name", "n")
+        return catalog.describe(s.spark, f"{schema}.customer").join(counts, "column_name")
 
 
 @query("K04_table_comments", "SELECT 'orders' AS table_name, 'All orders' AS comment, count(*) AS n FROM orders")
 def _(s):
-    schema = _store(s, "commented")
-    s.spark.sql(f"COMMENT ON TABLE {schema}.orders IS 'All orders'")
-    noted = catalog.table_comments(s.spark, schema)
-    assert catalog.table_comments(s.spark, schema, include_empty=True).count() == len(_TABLES)
-    counts = s.spark.table(f"{schema}.orders").agg(F.count("*").alias("n")).withColumn("table_name", F.lit("orders"))
-    return noted.select("table_name", "comment").join(counts, "table_name")
+    with _store(s, "commented") as schema:
+        s.spark.sql(f"COMMENT ON TABLE {schema}.orders IS 'All orders'")
+        noted = catalog.table_comments(s.spark, schema)
+        assert catalog.table_comments(s.spark, schema, include_empty=True).count() == len(_TABLES)
+        counts = s.spark.table(f"{schema}.orders").agg(F.count("*").alias("n")).withColumn("table_name", F.lit("orders"))
+        return noted.select("table_name", "comment").join(counts, "table_name")
 
 
 @query("K05_column_comments", """
@@ -76,13 +83,13 @@ def _(s):
 
 @query("K06_table_references", "SELECT ref, n FROM (VALUES ('one'), ('two'), ('three')) r(ref), (SELECT count(*) AS n FROM part)")
 def _(s):
-    schema = _store(s, "referenced")
-    s.spark.table(f"{schema}.part").createOrReplaceTempView("referenced_part")
-    refs = {"one": "referenced_part", "two": f"{schema}.part", "three": f"spark_catalog.{schema}.part"}
-    assert catalog.parse_table_ref("a.b.c") == ("a", "b", "c") and catalog.parse_table_ref("t")[1] == "default"
-    from civiclake.operators.unions import vertical_concat
+    with _store(s, "referenced") as schema:
+        s.spark.table(f"{schema}.part").createOrReplaceTempView("referenced_part")
+        refs = {"one": "referenced_part", "two": f"{schema}.part", "three": f"spark_catalog.{schema}.part"}
+        assert catalog.parse_table_ref("a.b.c") == ("a", "b", "c") and catalog.parse_table_ref("t")[1] == "default"
+        from civiclake.operators.unions import vertical_concat
 
-    return vertical_concat([s.spark.table(catalog.full_name(s.spark, r)).agg(F.count("*").alias("n")).select(F.lit(k).alias("ref"), "n") for k, r in refs.items()])
+        return vertical_concat([s.spark.table(catalog.full_name(s.spark, r)).agg(F.count("*").alias("n")).select(F.lit(k).alias("ref"), "n") for k, r in refs.items()])
 
 
 @query("K07_adhoc_sql", "SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 100 AND c_mktsegment <> 'O''Hara' GROUP BY 1")
