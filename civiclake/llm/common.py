@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,8 @@ from civiclake.session import shared_dir
 
 #: Rows of an Arrow batch handed to Python; texts run to 100 KB, so the default of 10,000 is too many.
 BATCH_ROWS = 500
+#: The folder that holds the package.
+ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of an Arrow batch.
 BATCH_BYTES = 32 << 20
 
@@ -23,7 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of this session, unless it has a smaller bound already."""
+    """Bounds the Arrow batches of this session, unless it has a smaller bound already, and lets its Python
+    workers find this package where it lies in the same place as on the driver."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))

@@ -15,7 +15,7 @@ Two nodes link when ``100 * intersection >= percent * union``.
    the largest component is compared with all members of the unit by its tokens' postings.
 4. Token-group matrix: the distinct (token, unit) pairs of the prefixes, with the components they stand for. A
    set's count of tokens in common with a unit, but not with its own component alone, bounds its overlap with
-   every member; only units that reach k are opened. Of two components the smaller one asks, so a large
+   every member; only units that reach k are opened. The units of a set's own group are opened without this bound. Of two components the smaller one asks, so a large
    component never asks. An opened unit's union of whole sets must hold percent of the set; only then its
    members are counted out. A component's members are never compared with each other again, so a group of n
    copies costs n rows, not n^2.
@@ -208,17 +208,18 @@ def _root(parent: list[int], k: int) -> int:
 
 
 def _units(kept: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(sig, n, unit) of every set, and (unit, sig) of all places where a set is compared."""
+    """(sig, n, family, unit) of every set, and (unit, sig) of all places where a set is compared; a family is a group or a lone set."""
     sizes = kept.select("sig", "n").distinct()
     centre = kept.select("sig", "n", F.col("first").alias("centre")).where("sig <> centre")
     centre = centre.groupBy("sig", "n", "centre").agg(F.count("*").alias("common")).where(F.col("common") >= _shared_column(F.col("n"), percent))
     best = centre.groupBy("sig", "n").agg(F.max(F.struct("common", "centre")).alias("best")).select("sig", "n", F.col("best.centre").alias("centre"))
     parts = best.groupBy("centre").agg(F.greatest(F.ceil(F.sum("n") / PART), F.ceil(F.count("*") / MEMBERS)).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")
-    members = best.join(parts, "centre").select("sig", F.xxhash64("centre", part).alias("unit"))
+    members = best.join(parts, "centre").select("sig", "centre", F.xxhash64("centre", part).alias("unit"))
     middle = parts.select(F.col("centre").alias("sig"), "parts")
     homes = middle.select("sig", F.xxhash64("sig", part).alias("home"))
-    units = sizes.join(members, "sig", "left").join(homes, "sig", "left").select("sig", "n", F.coalesce("unit", "home", F.xxhash64("sig")).alias("unit"))
+    units = sizes.join(members, "sig", "left").join(homes, "sig", "left").select(
+        "sig", "n", F.coalesce("centre", "sig").alias("family"), F.coalesce("unit", "home", F.xxhash64("sig")).alias("unit"))
     places = middle.select("sig", F.explode(F.expr("sequence(0, parts - 1)")).alias("part")).select(F.xxhash64("sig", "part").alias("unit"), "sig")
     return units, places.unionByName(members.select("unit", "sig"))
 
@@ -260,15 +261,17 @@ def _inside(places: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
 def _opened(kept: DataFrame, whole: DataFrame, units: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components: the matrix, its bound, and the comparison in the units that reach it."""
     named = units.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    named = materialise(named.join(named.groupBy("label").agg(F.count("*").alias("size")), "label").select("sig", "unit", F.struct("size", "label").alias("comp")), "units")
-    placed = kept.select("token", "sig", "n").join(named, "sig")
-    matrix = placed.groupBy("token", F.col("unit").alias("asked")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("comp").alias("top"))
+    named = materialise(named.join(named.groupBy("label").agg(F.count("*").alias("size")), "label").select("sig", "n", "family", "unit", F.struct("size", "label").alias("comp")), "units")
+    placed = kept.select("token", "sig").join(named, "sig")
+    matrix = placed.groupBy("token", F.col("unit").alias("asked"), F.col("family").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("comp").alias("top"))
     # A component asks only where a greater one, by size and name, holds the token; one of any two does.
-    hits = (placed.join(matrix, "token").where("unit <> asked and comp < top")
+    hits = (placed.join(matrix, "token").where("family <> other and comp < top")
             .where((F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)))
     asked = (hits.groupBy("sig", "n", "asked").agg(F.count("*").alias("common")).where(F.col("common") >= _shared_column(F.col("n"), percent))
              .select("sig", "n", "asked"))
-    asked = materialise(asked, "asked")
+    tops = named.groupBy("family", F.col("unit").alias("asked")).agg(F.max("comp").alias("top"))
+    within = named.join(tops, "family").where("unit <> asked and comp < top").select("sig", "n", "asked")
+    asked = materialise(asked.unionByName(within), "asked")
     columns = asked.groupBy("asked").agg(F.greatest(F.ceil(F.sum("n") / PART), F.ceil(F.count("*") / MEMBERS)).cast("int").alias("columns"))
     left = named.select("sig", F.col("unit").alias("asked"), F.col("comp.label").alias("label")).join(columns, "asked")
     left = left.select("asked", F.explode(F.expr("sequence(0, columns - 1)")).alias("column"), "sig", "label")
