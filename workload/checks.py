@@ -7,20 +7,21 @@ from civiclake.sources import landing, storage, tables
 from workload.registry import query
 from workload.sources import _ragged, land_raw_lines
 
-# Landing: every order of 1995-1999 by month, except that nothing landed for April 1996, May 1996
+# Landing: every order by month, except that nothing landed for April 1996, May 1996
 # landed empty, and one line in 23 / 29 is malformed. Clean: well-formed orders by year, without
-# the customers divisible by 50; 1999 has every order twice; 2000 and later are clean only.
+# the customers divisible by 50; 1999 has every order twice; 2030,
+# outside the data, is clean only.
 _GOOD = "(o_orderkey % 23 <> 0 AND o_orderkey % 29 <> 0)"
 _LANDED = f"""
     landed AS (SELECT year(o_orderdate)::INT AS y, month(o_orderdate)::INT AS m, o_orderkey, o_custkey, {_GOOD} AS good FROM orders
-               WHERE year(o_orderdate) BETWEEN 1995 AND 1999 AND strftime(o_orderdate, '%Y-%m') NOT IN ('1996-04', '1996-05')),
-    clean AS (SELECT y, o_orderkey FROM landed WHERE good AND y < 1999 AND (y > 1996 OR o_custkey % 50 <> 0)
+               WHERE strftime(o_orderdate, '%Y-%m') NOT IN ('1996-04', '1996-05')),
+    clean AS (SELECT y, o_orderkey FROM landed WHERE good AND y <> 1999 AND (y > 1996 OR o_custkey % 50 <> 0)
               UNION ALL SELECT y, o_orderkey FROM landed WHERE good AND y = 1999 UNION ALL SELECT y, o_orderkey FROM landed WHERE good AND y = 1999
-              UNION ALL SELECT year(o_orderdate)::INT, o_orderkey FROM orders WHERE year(o_orderdate) >= 2000),
-    spine AS (SELECT y, m FROM (SELECT unnest(range(1995, 2002)::INT[]) AS y), (SELECT unnest(range(1, 13)) AS m)),
+              UNION ALL SELECT 2030, o_orderkey FROM orders WHERE year(o_orderdate) = 2001),
+    spine AS (SELECT y, m FROM (SELECT unnest(list_append(range(1995, 2002)::INT[], 2030)) AS y), (SELECT unnest(range(1, 13)) AS m)),
     months AS (SELECT s.y, s.m, count(l.o_orderkey) AS landing_rows, count(*) FILTER (l.good) AS parsed_rows,
-                      s.y < 2000 AND NOT (s.y = 1996 AND s.m = 4) AS landed
-               FROM spine s LEFT JOIN landed l ON l.y = s.y AND l.m = s.m GROUP BY ALL),
+                      count(l.o_orderkey) > 0 OR (s.y = 1996 AND s.m = 5) AS landed
+               FROM spine s LEFT JOIN landed l ON l.y = s.y AND l.m = s.m GROUP BY s.y, s.m),
     years AS (SELECT y, count(*) FILTER (landed) AS months_materialized, count(*) FILTER (landing_rows > 0) AS months_with_data,
                      sum(landing_rows)::BIGINT AS landing_rows, sum(parsed_rows)::BIGINT AS parsed_rows FROM months GROUP BY y),
     counted AS (SELECT years.*, coalesce(c.n, 0) AS clean_rows FROM years LEFT JOIN (SELECT y, count(*) AS n FROM clean GROUP BY 1) c USING (y)),
@@ -47,7 +48,7 @@ def _layers(s, *, ragged: bool = True):
     """(landing root, clean root) as described above."""
     landing_root, clean_root = s.dir("landing"), s.dir("clean")
     key, day = F.col("o_orderkey"), F.col("o_orderdate")
-    orders = s.orders.where(F.year(day).between(1995, 1999)).withColumns({"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM")})
+    orders = s.orders.withColumns({"year": F.date_format(day, "yyyy"), "month": F.date_format(day, "MM")})
     orders = orders.where(~F.concat("year", "month").isin("199604", "199605"))
     fields = [key, F.col("o_custkey"), F.col("o_orderstatus")]
     line = F.concat_ws(",", *fields)
@@ -59,7 +60,7 @@ def _layers(s, *, ragged: bool = True):
     storage.write_partition(raw.limit(0).drop("year", "month"), landing_root, "csv", "1996-05", header=True, sep="\u0001", quote="\u0002")
     good = orders.where((key % 23 != 0) & (key % 29 != 0)) if ragged else orders
     kept = good.where((F.col("year") > "1996") | (F.col("o_custkey") % 50 != 0))
-    late = s.orders.where(F.year(day) >= 2000).withColumn("year", F.date_format(day, "yyyy"))
+    late = s.orders.where(F.year(day) == 2001).withColumn("year", F.lit("2030"))
     clean = unions.diagonal_concat([kept.select("o_orderkey", "year"), good.where("year = '1999'").select("o_orderkey", "year"),
                                     late.select("o_orderkey", "year")])
     tables.write_hive(clean, clean_root, grain="yearly")
@@ -110,7 +111,7 @@ def _(s):
     CASE WHEN NOT landed THEN 'not materialized' WHEN landing_rows > 0 THEN 'materialized' ELSE 'empty' END AS status FROM months""")
 def _(s):
     landing_root, _ = _layers(s)
-    return _as_int(quality.monthly_landing(s.spark, landing_root, [str(y) for y in range(1995, 2002)]), "year")
+    return _as_int(quality.monthly_landing(s.spark, landing_root, [str(y) for y in [*range(1995, 2002), 2030]]), "year")
 
 
 @query("Q06_verdicts", f"""
@@ -143,14 +144,14 @@ def _(s):
 @query("Q07_all_months_empty", f"""
     WITH {_LANDED}, judged AS (
         SELECT y, months_materialized, months_with_data, 12 - months_materialized AS months_missing, landing_rows, parsed_rows, parsed_rows AS clean_rows, landing_rows - parsed_rows AS parse_gap, 0 AS transform_gap
-        FROM years WHERE y <= 1999 UNION ALL SELECT 2030, 1, 0, 11, 0, 0, 0, 0, 0)
+        FROM years WHERE y < 2030 UNION ALL SELECT 2030, 1, 0, 11, 0, 0, 0, 0, 0)
     SELECT y AS year, months_materialized, months_with_data, months_missing, landing_rows, clean_rows, {_verdicts(months=True)} FROM judged""")
 def _(s):
     # Every landed year beside 2030, for which one month landed without records.
     landing_root, _ = _layers(s)
     clean_root = s.dir("clean")
     storage.write_partition(s.orders.select(F.lit("").alias("id,customer,status")).limit(0), landing_root, "csv", "2030-02", header=True, sep="\u0001", quote="\u0002")
-    years = ["1995", "1996", "1997", "1998", "1999"]
+    years = [str(y) for y in range(1995, 2002)]
     parsed = landing.scan_landing(s.spark, landing_root, years)
     tables.write_hive(parsed.select("id", "year"), clean_root, grain="yearly")
     judged = quality.monthly_accounting(s.spark, landing_root, clean_root, [*years, "2030"])
@@ -186,13 +187,13 @@ def _(s):
 
 
 SOURCES = [unions.YearSource("old", 1990, 1996), unions.YearSource("archive", 1997, 1998, layer="clean", grain="same_grain"),
-           unions.YearSource("new", 1999, 1999)]
+           unions.YearSource("new", 1999, 2001)]
 _ROUTED = f"""{_LANDED},
-    routed AS (SELECT y, CASE WHEN y <= 1996 THEN 'old' WHEN y <= 1998 THEN 'archive' WHEN y = 1999 THEN 'new' END AS active_source,
-        CASE WHEN y > 1999 THEN 0 WHEN y IN (1997, 1998) THEN clean_rows ELSE landing_rows END AS landing_rows,
-        CASE WHEN y > 1999 THEN 0 WHEN y IN (1997, 1998) THEN clean_rows ELSE parsed_rows END AS parsed_rows, clean_rows,
-        CASE WHEN y NOT IN (1997, 1998) AND y <= 1999 THEN months_materialized END AS months_materialized,
-        CASE WHEN y NOT IN (1997, 1998) AND y <= 1999 THEN months_with_data END AS months_with_data FROM gaps),
+    routed AS (SELECT y, CASE WHEN y <= 1996 THEN 'old' WHEN y <= 1998 THEN 'archive' WHEN y <= 2001 THEN 'new' END AS active_source,
+        CASE WHEN y > 2001 THEN 0 WHEN y IN (1997, 1998) THEN clean_rows ELSE landing_rows END AS landing_rows,
+        CASE WHEN y > 2001 THEN 0 WHEN y IN (1997, 1998) THEN clean_rows ELSE parsed_rows END AS parsed_rows, clean_rows,
+        CASE WHEN y NOT IN (1997, 1998) AND y <= 2001 THEN months_materialized END AS months_materialized,
+        CASE WHEN y NOT IN (1997, 1998) AND y <= 2001 THEN months_with_data END AS months_with_data FROM gaps),
     judged AS (SELECT *, landing_rows - parsed_rows AS parse_gap, parsed_rows - clean_rows AS transform_gap FROM routed)"""
 
 
