@@ -95,8 +95,9 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim = dims["dim"]
     ready = ready.where(F.size("embedding") == dim)
-    sample = np.array([r[0] for r in ready.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()])
-    mean, turn = sample.mean(axis=0), rotation(dim)
+    sample = ready.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select(F.posexplode("embedding"))
+    means = sample.groupBy("pos").agg(F.avg("col").alias("mean")).orderBy("pos").collect()  # a row per dimension
+    mean, turn = np.array([r["mean"] for r in means]), rotation(dim)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[np.ndarray] = []
