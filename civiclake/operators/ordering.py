@@ -49,11 +49,24 @@ def grouped_position(df: DataFrame, keys: list[str], order: list, *, position: s
                      group_size: str | None = None) -> DataFrame:
     """Add the 1-based position of each row within its key under ``order`` (and the key's row count).
     ``order`` should end in a unique column to make ties repeatable."""
-    numbered = _with_running_weight(df, keys, [as_column(o) for o in order], F.lit(1).cast("long"))
-    added = [(F.col("__before") + 1).alias(position)]
+    order = [as_column(o) for o in order]
+    ranged = df.repartitionByRange(_partitions(df), *keys, *order).sortWithinPartitions(*keys, *order)
+    placed = materialize(ranged.withColumn(_LOCAL, F.monotonically_increasing_id())).withColumn(_PART, F.shiftright(_LOCAL, _ROW_BITS))
+    pieces = placed.groupBy(_PART, *keys).agg(F.count("*").alias("__n"), F.min(_LOCAL).alias("__first"))
+    # A piece is a key's run of rows in one partition; rows before it lie in the key's earlier pieces.
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(
+        F.col(_PART).alias("__op"), *[F.col(k).alias(f"__o_{k}") for k in keys], "__first",
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_BASE), F.sum("__n").over(whole).alias("__whole"))
+    same = F.col(_PART) == F.col("__op")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+    # Spark broadcasts the pieces while they are few; then the rows are not shuffled again.
+    added = [(F.col(_LOCAL) - F.col("__first") + F.col(_BASE) + 1).alias(position)]
     if group_size:
-        added.append(F.col("__total").alias(group_size))
-    return numbered.select(*df.columns, *added)
+        added.append(F.col("__whole").alias(group_size))
+    return placed.join(pieces, same).select(*df.columns, *added)
 
 
 def table_position(df: DataFrame, order: list, *, position: str = "position") -> DataFrame:
