@@ -10,7 +10,7 @@ Two nodes link when ``100 * intersection >= percent * union``.
 2. Each set writes the first tokens of its order, the prefix. Sets that link share at least k tokens of their
    prefixes (:func:`prefix`, :func:`shared`). Tokens that one set alone holds are dropped.
 3. Partition: a set joins the group of the set with which it shares most prefix tokens, out of the smallest set
-   of each token. A group is dealt into units of bounded size, each with the group's centre. In a unit, members
+   of each token; a set left alone joins the group that holds most of its tokens. A group is dealt into units of bounded size, each with the group's centre. In a unit, members
    are compared with a few leaders, those first whose tokens are most common in the unit; whatever stays outside
    the largest component is compared with all members of the unit by its tokens' postings.
 4. Token-group matrix: the distinct (token, unit) pairs of the prefixes, with the components they stand for. A
@@ -213,6 +213,14 @@ def _units(kept: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     centre = kept.select("sig", "n", F.col("first").alias("centre")).where("sig <> centre")
     centre = centre.groupBy("sig", "n", "centre").agg(F.count("*").alias("common")).where(F.col("common") >= _shared_column(F.col("n"), percent))
     best = centre.groupBy("sig", "n").agg(F.max(F.struct("common", "centre")).alias("best")).select("sig", "n", F.col("best.centre").alias("centre"))
+    # Sets whose tokens are split over several smallest sets join the group that holds most of them.
+    placed = best.select("sig", F.col("centre").alias("family")).unionByName(
+        best.select(F.col("centre").alias("sig"), F.col("centre").alias("family")).distinct().join(best.select("sig"), "sig", "left_anti"))
+    placed = materialise(placed, "families")
+    held = kept.select("token", "sig").join(placed, "sig").select("token", "family").distinct()
+    lone = kept.select("token", "sig", "n").join(placed, "sig", "left_anti").join(held, "token").groupBy("sig", "n", "family").agg(F.count("*").alias("common"))
+    lone = lone.where(F.col("common") >= _shared_column(F.col("n"), percent)).groupBy("sig", "n").agg(F.max(F.struct("common", "family")).alias("best"))
+    best = materialise(best.unionByName(lone.select("sig", "n", F.col("best.family").alias("centre"))), "groups")
     parts = best.groupBy("centre").agg(F.greatest(F.ceil(F.sum("n") / PART), F.ceil(F.count("*") / MEMBERS)).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")
     members = best.join(parts, "centre").select("sig", "centre", F.xxhash64("centre", part).alias("unit"))
