@@ -1,17 +1,15 @@
-"""Benchmark decontamination: CGK embeddings, bit-sampling LSH and exact edit verification.
+"""Benchmark decontamination: pieces by the pigeonhole principle and exact edit distance.
 
-Texts and items are compared as bytes with A-Z as a-z and every run of blanks as one space.
+Texts and items are compared as bytes with A-Z as a-z and every run of blanks as one space. An item matches a text
+if at most ``SHARE`` of the item's length in edits turn it into a substring of the text; every such pair is found.
 
-1. Windows. An item-sized window opens wherever a text and an item share ``SEED`` bytes, at the place where the
-   item would start; all places of all texts are looked up. Items shorter than a seed are their own seed.
-2. Embedding. A CGK random walk maps window and item to strings of three times the item's length: step j
-   writes the byte under the pointer and moves it on or not, as a random bit of (j, byte) says. Few edits
-   become few differing places.
-3. LSH. A table reads ``BITS`` random places; window and item collide if they agree on all of them in one
-   table. Walks and tables are repeated until a pair whose embeddings agree on ``AGREE`` of their places
-   collides with probability ``RECALL``.
-4. Verification. The edit distance of the item to the best substring around the window, by bit-parallel dynamic
-   programming; pairs of at most ``SHARE`` of the item's length stay.
+1. Pieces. An item of m bytes with room for k edits is cut into n pieces of one length, PIECE bytes or less, more
+   than k of them. An edit touches one piece at most, so a copy holds at least n - k pieces unchanged, and none of
+   them is moved by more than k bytes. All places of all texts are looked up in the pieces.
+2. Counting. The finds of a text and an item are counted in bands of 2k + 1 starts; a copy's pieces lie in one band
+   or two neighbours. Bands whose count reaches n - k are candidates, so no match within the bound is lost.
+3. Verification. The edit distance of the item to the best substring around the bands, by bit-parallel dynamic
+   programming.
 
 The benchmark is held in blocks of at most ITEM_BYTES bytes of text; a larger one is read in several passes.
 
@@ -22,7 +20,6 @@ beyond the named ones are ignored by :func:`leaks` and kept by :func:`without_le
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -32,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import blocks, buffers, mix, powers, small_batches, table
+from civiclake.llm.common import blocks, buffers, mix, small_batches, table
 
-SEED = 20
-BITS, AGREE, RECALL = 8, 0.6, 0.99
-WALKS = 4
+#: Bytes of a piece, at most; eight are one integer.
+PIECE = 8
 SHARE = 0.1
 #: Bytes of benchmark text that one pass holds.
 ITEM_BYTES = 4 << 20
+#: Finds that are counted at once.
+FINDS = 1 << 21
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -58,29 +56,27 @@ def normalise(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return low[keep], kept[at], np.flatnonzero(keep)
 
 
-def _grams(data: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all strings of ``size`` bytes, borders of texts ignored."""
-    if len(data) < size:
-        return np.empty(0, np.uint64)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data))[0], out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * powers(len(sums))[1][: len(sums) - size])
+def _grams(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one integer, zeros behind the end; borders of texts ignored."""
+    out = np.concatenate([data, np.zeros(PIECE - 1, np.uint8)]).astype(np.uint64)
+    for width in (1, 2, 4):
+        out = out[:-width] | out[width:] << np.uint64(8 * width)
+    return out
 
 
-def tables(recall: float = RECALL, agree: float = AGREE, bits: int = BITS) -> int:
-    """Tables that let a pair with this agreement collide with this probability."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - agree ** bits))
+def _mask(size: int) -> np.uint64:
+    return np.uint64((1 << 8 * size) - 1)
 
 
-def distance(item: bytes, text: bytes) -> int:
-    """Edits between the item and the substring of the text that is nearest to it (Myers' bit vectors)."""
+def nearest(item: bytes, text: bytes, anchored: bool = False) -> tuple[int, int]:
+    """Edits between the item and the nearest substring of the text, and where the first such ends (Myers' bit
+    vectors); an anchored substring begins where the text does."""
     m = len(item)
-    masks: dict[int, int] = {}
-    for k, c in enumerate(item):
-        masks[c] = masks.get(c, 0) | 1 << k
+    held = np.frombuffer(item, np.uint8)
+    masks = {int(c): int.from_bytes(np.packbits(held == c, bitorder="little").tobytes(), "little") for c in np.unique(held)}
     full, top = (1 << m) - 1, 1 << m - 1
-    up, down, score, best = full, 0, m, m
-    for c in text:
+    up, down, score, best, end = full, 0, m, m, 0
+    for k, c in enumerate(text):
         eq = masks.get(c, 0)
         x = eq | down
         diagonal = ((eq & up) + up ^ up) | eq
@@ -89,10 +85,18 @@ def distance(item: bytes, text: bytes) -> int:
             score += 1
         elif minus & top:
             score -= 1
-        plus, minus = plus << 1 & full, minus << 1 & full
+        plus, minus = (plus << 1 | anchored) & full, minus << 1 & full
         up, down = minus | ~(x | plus) & full, plus & x
-        best = min(best, score)
-    return best
+        if score < best:
+            best, end = score, k + 1
+            if not best:
+                break
+    return best, end
+
+
+def distance(item: bytes, text: bytes) -> int:
+    """Edits between the item and the substring of the text that is nearest to it."""
+    return nearest(item, text)[0]
 
 
 @dataclass
@@ -103,84 +107,87 @@ class Items:
     texts: list[bytes]
 
     def __post_init__(self) -> None:
-        seeds: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        self.sizes = np.array([len(t) for t in self.texts], np.int64)
+        self.most = np.array([int(SHARE * len(t)) for t in self.texts], np.int64)
+        self.least = np.zeros(len(self.texts), np.int64)
+        pieces: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for k, text in enumerate(self.texts):
-            size = min(SEED, len(text))
-            if size:
-                grams = _grams(np.frombuffer(text, np.uint8), size)
-                seeds.setdefault(size, []).append((grams, np.full(len(grams), k), np.arange(len(grams))))
-        self.seeds = {}
-        for size, parts in seeds.items():
+            if not text:
+                continue
+            size = min(PIECE, len(text) // (int(self.most[k]) + 1))
+            offsets = np.arange(len(text) // size) * size
+            self.least[k] = len(offsets) - self.most[k]
+            pieces.setdefault(size, []).append((_grams(np.frombuffer(text, np.uint8))[offsets] & _mask(size), np.full(len(offsets), k), offsets))
+        self.pieces = {}
+        for size, parts in pieces.items():
             grams, item, offset = (np.concatenate(p) for p in zip(*parts))
             order = np.argsort(grams, kind="stable")
             known = np.zeros(1 << _FILTER, bool)
-            known[grams >> np.uint64(64 - _FILTER)] = True
-            self.seeds[size] = known, grams[order], item[order], offset[order]
-        random = np.random.default_rng(11)
-        self.steps = 3 * max(map(len, self.texts), default=0)
-        self.coins = random.integers(0, 2, (WALKS, max(self.steps, 1), 256)).astype(np.int64)
-        self.places = random.random((tables() // WALKS + 1, BITS))
-        self.embedded = [self.embed([t], len(t))[0] if t else None for t in self.texts]
-
-    def embed(self, strings: list[bytes], length: int) -> np.ndarray:
-        """CGK walks of strings, padded or cut to ``length``: (string, walk, step)."""
-        rows = np.zeros((len(strings), length + 1), np.uint8)
-        for k, s in enumerate(strings):
-            s = s[:length]
-            rows[k, : len(s)] = np.frombuffer(s, np.uint8)
-        at = np.zeros((len(strings), WALKS), np.int64)
-        row = np.arange(len(strings))[:, None]
-        walk = np.arange(WALKS)[None, :]
-        out = np.empty((len(strings), WALKS, 3 * length), np.uint8)
-        for j in range(3 * length):
-            byte = rows[row, at]
-            out[:, :, j] = byte
-            at = np.minimum(at + self.coins[walk, j, byte], length)
-        return out
-
-    def collide(self, item: int, windows: list[bytes]) -> np.ndarray:
-        """Which windows share a bucket with the item in some table of some walk."""
-        length = len(self.texts[item])
-        places = (self.places * (3 * length)).astype(np.int64)
-        same = self.embed(windows, length)[:, :, places] == self.embedded[item][:, places]
-        return same.all(axis=3).any(axis=(1, 2))
+            known[mix(grams) >> np.uint64(64 - _FILTER)] = True
+            self.pieces[size] = known, grams[order], item[order], offset[order]
+
+    def bands(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Texts, items and bands of starts that hold enough pieces, alone or with a neighbour, sorted. Band b holds
+        the starts from b * (2k + 1) - m bytes behind the text's first."""
+        bands = int(np.diff(at).max(initial=0) + self.sizes.max(initial=0)) + 3  # no band borders on another item's
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        every = _grams(data)
+        for size, (known, grams, items, offsets) in self.pieces.items():
+            here = every & _mask(size)
+            maybe = np.flatnonzero(known[mix(here) >> np.uint64(64 - _FILTER)])
+            low, high = np.searchsorted(grams, here[maybe]), np.searchsorted(grams, here[maybe], "right")
+            text = np.searchsorted(at, maybe, side="right") - 1
+            inside = (high > low) & (maybe + size <= at[text + 1])
+            maybe, low, text, count = maybe[inside], low[inside], text[inside], (high - low)[inside]
+            total = np.cumsum(count)
+            cuts = np.searchsorted(total, np.arange(FINDS, int(total[-1]) if len(total) else 0, FINDS))
+            for part in np.split(np.arange(len(maybe)), cuts):
+                n = count[part]
+                nth = np.repeat(low[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                item, of = items[nth], np.repeat(text[part], n)
+                start = np.repeat(maybe[part], n) - at[of] + self.sizes[item] - offsets[nth]
+                found, times = np.unique((of * len(self.texts) + item) * bands + start // (2 * self.most[item] + 1), return_counts=True)
+                if len(keys):
+                    both, place = np.unique(np.concatenate([keys, found]), return_inverse=True)
+                    times = np.bincount(place, np.concatenate([counts, times])).astype(np.int64)
+                    found = both
+                keys, counts = found, times
+        pairs = np.zeros(len(keys) + 1, np.int64)  # finds of a band and the one before
+        pairs[:-1] = counts
+        pairs[1:-1] += np.where(np.diff(keys) == 1, counts[:-1], 0)
+        behind = np.append(np.diff(keys) == 1, False)
+        item = keys // bands % len(self.texts)
+        enough = (pairs[:-1] >= self.least[item]) | behind & (pairs[1:] >= self.least[item])
+        keys = keys[enough]
+        return keys // bands // len(self.texts), item[enough], keys % bands
 
     def matches(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(text number, item number, distance, place in the normalised text) of all matches of a block."""
-        found = []
-        for size, (known, grams, items, offsets) in self.seeds.items():
-            hashes = _grams(data, size)
-            maybe = np.flatnonzero(known[hashes >> np.uint64(64 - _FILTER)])
-            low, high = np.searchsorted(grams, hashes[maybe]), np.searchsorted(grams, hashes[maybe], "right")
-            count = high - low
-            nth = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            place = np.repeat(maybe, count)
-            text = np.searchsorted(at, place, side="right") - 1
-            inside = place + size <= at[text + 1]
-            found.append(np.stack([text[inside], items[nth[inside]], (place - offsets[nth])[inside]]))
-        if not found:
-            return
-        windows = np.unique(np.concatenate(found, axis=1), axis=1)
+        texts, items, bands = self.bands(data, at)
         raw = data.tobytes()
-        borders = np.flatnonzero((np.diff(windows[:2], axis=1) != 0).any(axis=0)) + 1
-        for group in np.split(windows, borders, axis=1):
-            if not group.shape[1]:
+        last = np.flatnonzero((np.diff(texts) != 0) | (np.diff(items) != 0) | (np.diff(bands) != 1)) + 1  # runs of bands
+        now, best = None, (0, 0)
+        for run in np.split(np.arange(len(bands)), last):
+            if not len(run):
+                continue
+            pair = int(texts[run[0]]), int(items[run[0]])
+            if pair != now:
+                if now and best[0] <= self.most[now[1]]:
+                    yield *now, *best
+                now, best = pair, (int(self.most[pair[1]]) + 1, 0)
+            if not best[0]:
                 continue
-            text, item = int(group[0, 0]), int(group[1, 0])
-            first, last, length = int(at[text]), int(at[text + 1]), len(self.texts[item])
-            most = int(SHARE * length)
-            best = (most + 1, 0)
-            for a in range(0, group.shape[1], 256):
-                starts = group[2, a: a + 256].tolist()
-                cut = [raw[max(first, s): min(last, s + length)] for s in starts]
-                behind = -1
-                for s, hit in zip(starts, self.collide(item, cut)):
-                    if hit and s > behind:  # windows that start within the last one's reach show it the same text
-                        d = distance(self.texts[item], raw[max(first, s - most): min(last, s + length + 2 * most + 1)])
-                        best = min(best, (d, max(first, s) - first))
-                        behind = s + most
-            if best[0] <= most:
-                yield text, item, best[0], best[1]
+            item, m, k = self.texts[pair[1]], int(self.sizes[pair[1]]), int(self.most[pair[1]])
+            begin, stop = int(at[pair[0]]), int(at[pair[0] + 1])
+            width = 2 * k + 1
+            low = max(begin, begin + int(bands[run[0]]) * width - m - k)
+            d, end = nearest(item, raw[low: min(stop, begin + (int(bands[run[-1]]) + 1) * width + 2 * k)])
+            if d < best[0]:
+                end += low
+                length = nearest(item[::-1], raw[max(begin, end - m - k): end][::-1], True)[1]
+                best = d, end - length - begin
+        if now and best[0] <= self.most[now[1]]:
+            yield *now, *best
 
 
 def prepared(benchmark: DataFrame) -> list[Items]:
@@ -200,7 +207,7 @@ def prepared(benchmark: DataFrame) -> list[Items]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, distance, start): items found in documents; start is the window's byte in the text."""
+    """(doc_id, item_id, distance, start): items found in documents; start is the first byte of the nearest substring in the text."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -235,6 +235,35 @@ def test_leaks(spark):
     assert decontaminate.leaks(df, bench.limit(0)).count() == 0 and decontaminate.leaks(df.limit(0), bench).count() == 0
 
 
+def test_leaks_are_those_within_the_bound(spark, monkeypatch):
+    """Evenly spaced and random edits up to the bound, on long and short items: the pairs of a brute-force search."""
+    pick = random.Random(8)
+    flat = lambda t: t.encode().translate(_LOW)
+    items = [prose(pick, 60)[:n].strip() + "." for n in (9, 10, 19, 20, 25, 29, 30, 40, 59, 95, 150, 233, 300)] + ["ab" * 30, "a"]
+    texts = ["", "zu"]
+    for item in items:
+        most = len(flat(item)) // 10
+        for edits in {0, most // 2, most, most + 1}:
+            for spread in (True, False):
+                chars = list(item)
+                places = [int((k + 0.5) * len(chars) / edits) for k in range(edits)] if spread else sorted(pick.sample(range(len(chars)), edits))
+                for at in reversed(places):
+                    chars[at: at + 1] = pick.choice([["#"], [], [chars[at], "#"]])
+                texts.append(" ".join((prose(pick, pick.randint(0, 9)) + "".join(chars) + prose(pick, pick.randint(0, 9))).split()))
+    wanted = {(t, i): best_distance(flat(item), flat(text)) for t, text in enumerate(texts) for i, item in enumerate(items)}
+    wanted = {pair: d for pair, d in wanted.items() if d <= len(flat(items[pair[1]])) // 10}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = decontaminate.leaks(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    block, at = np.frombuffer("".join(texts).encode().translate(_LOW), np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    monkeypatch.setattr(decontaminate, "FINDS", 50)  # counted in many steps
+    held = decontaminate.Items(list(range(len(items))), [flat(i) for i in items])
+    assert {(t, i): d for t, i, d, _ in held.matches(block, at)} == wanted
+    assert {(r.doc_id, r.item_id): r.distance for r in made} == wanted and len(made) == len(wanted)
+    for r in made:
+        item, text = flat(items[r.item_id]), flat(texts[r.doc_id])[r.start:]
+        assert min(best_distance(item, text[:n]) for n in range(len(item) + r.distance + 1)) == r.distance
+
+
 def test_leaks_query_finds_every_exact_passage(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
