@@ -99,7 +99,7 @@ def digest(tokens: np.ndarray) -> int:
 
 
 def _survey(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, sig) per document, and (bin, weight) for tokens that are common within a task."""
+    """(doc_id, row, n, sig) per document, and (bin, weight) for tokens that are common within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, total = np.zeros(1 << _BINS, np.int64), 0
@@ -110,15 +110,15 @@ def _survey(docs: DataFrame, width: int) -> DataFrame:
             total += len(tokens)
             n = len(each)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").cast(pa.int64()), pa.array([len(x) for x in each], pa.int64()),
+                batch.column("doc_id").cast(pa.int64()), batch.column("row"), pa.array([len(x) for x in each], pa.int64()),
                 pa.array([digest(x) if len(x) else None for x in each], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
-                ["doc_id", "n", "sig", "bin", "weight"])
+                ["doc_id", "row", "n", "sig", "bin", "weight"])
         heavy = np.flatnonzero(bins >= 8 + 4 * total / (1 << _BINS))
         none = pa.nulls(len(heavy), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(heavy, pa.int32()), pa.array(bins[heavy], pa.int64())],
-                                         ["doc_id", "n", "sig", "bin", "weight"])
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(heavy, pa.int32()), pa.array(bins[heavy], pa.int64())],
+                                         ["doc_id", "row", "n", "sig", "bin", "weight"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig long, bin int, weight long")
+    return docs.mapInArrow(run, "doc_id long, row long, n long, sig long, bin int, weight long")
 
 
 def _classes(survey: DataFrame) -> np.ndarray:
@@ -163,7 +163,7 @@ def _prefixes(docs: DataFrame, classes, width: int, percent: int) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(sig, n, tokens) of the wanted sets, from one document each (doc_id, sig)."""
+    """(sig, n, tokens) of the wanted sets, from one row each (sig, of); of is the row's hash of id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
@@ -171,7 +171,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array([len(x) for x in each], pa.int32()),
                                               pa.array([x.tobytes() for x in each], pa.binary())], ["sig", "n", "tokens"])
 
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["of"])).select("sig", "text").dropDuplicates(["sig"])
+    texts = docs.select("row", "text").join(wanted.withColumnRenamed("of", "row"), "row").select("sig", "text").dropDuplicates(["sig"])
     return texts.mapInArrow(run, "sig long, n int, tokens binary")
 
 
@@ -307,8 +307,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85) -> DataF
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))  # an id alone may stand on several texts, or be null
     survey = materialise(_survey(docs, width), "survey")
-    nodes = survey.where("bin is null").select("doc_id", "n", "sig")
+    nodes = survey.where("bin is null").select("doc_id", "row", "n", "sig")
     classes = spark.sparkContext.broadcast(_classes(survey))
 
     rows = _prefixes(docs, classes, width, percent).repartition("token")
@@ -317,7 +318,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85) -> DataF
     able = kept.groupBy("sig", "n").agg(F.count("*").alias("common")).where(F.col("common") >= _shared_column(F.col("n"), percent)).select("sig")
     kept = materialise(kept.join(able, "sig", "left_semi"), "candidates")
 
-    wanted = nodes.join(able, "sig").groupBy("sig").agg(F.min("doc_id").alias("of"))
+    wanted = nodes.join(able, "sig").groupBy("sig").agg(F.min("row").alias("of"))
     whole = materialise(_whole_sets(docs, wanted, width), "sets")
     units, places = _units(kept, percent)
     units = materialise(units, "units")

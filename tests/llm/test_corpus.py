@@ -91,6 +91,22 @@ def test_ngram_join_of_odd_rows(spark):
     assert ngramjoin.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_ngram_join_of_null_and_repeated_ids(spark):
+    """Ids say nothing about texts: near copies under null ids and under one repeated id link like any others."""
+    pick = random.Random(9)
+    texts = [edited(pick, base, edits) for base in (prose(pick, 90) for _ in range(12)) for edits in (0, 1, 1, 2)] + [prose(pick, 40) for _ in range(8)]
+    texts += texts[:4]
+    expected = brute_groups(list(enumerate(texts)))
+    for ids in ([None] * len(texts), [7] * len(texts), [None if k % 3 else 7 + k // 9 for k in range(len(texts))]):
+        df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(5)
+        names = collections.defaultdict(list)
+        for k, _, group in expected:
+            names[group].append(ids[k])
+        least = {g: min((i for i in held if i is not None), default=None) for g, held in names.items()}
+        wanted = [(ids[k], n, least[group]) for k, n, group in expected]
+        assert sorted((tuple(r) for r in ngramjoin.near_duplicates(df).collect()), key=repr) == sorted(wanted, key=repr)
+
+
 @pytest.mark.parametrize("percent", [50, 80, 85, 90, 99, 100])
 def test_prefixes_are_long_enough(percent):
     """Sets that just link share the tokens that the prefixes promise, wherever their differences lie."""
