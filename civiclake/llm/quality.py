@@ -6,12 +6,12 @@ the pairs of neighbours, hashed into ``2**BITS`` slots; a slot that occurs c tim
 text weighs sqrt(c / t), so that every text has length 1. Training is follow-the-regularised-leader with
 per-slot rates: z and n are summed, weights follow from them in closed form, slots with |z| <= l1 weigh 0.
 
-The model is fitted on a bounded sample of the labelled rows: the ``sample`` rows with the smallest hashes of
-their ids (default SAMPLE). It is trained in one task on features that many tasks have made, and is broadcast
+The model is fitted on a bounded sample of the distinct labelled documents (id, text, label): the ``sample`` ones
+with the smallest hashes of their ids (default SAMPLE). It is trained in one task on features that many tasks have made, and is broadcast
 (2**BITS floats, 1 MB). Every text is scored whole.
 
 Contract: one row per input row. Null and empty texts have no feature and get the score of the bias. A null
-doc_id is never held out and never trained on. Null labels are ignored, repeated labels count each. Without
+doc_id is never held out and never trained on. Null labels are ignored, repeated rows and labels count once, contrary labels both. Without
 any label the score is 0.5. Columns beyond the named ones are ignored.
 """
 
@@ -95,8 +95,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     rank = F.xxhash64("doc_id")
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marks = marks.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
-    chosen = marks.withColumn("rank", rank).orderBy("rank", "doc_id", "quality").limit(sample)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
+    chosen = marks.distinct().withColumn("rank", rank).orderBy("rank", "doc_id", "quality").limit(sample)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("key")).join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
@@ -104,10 +104,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
             text, slots, values = features(data, at)
             cut = np.searchsorted(text, np.arange(len(at)))
             yield pa.RecordBatch.from_arrays([
-                batch.column("rank"), batch.column("doc_id"), batch.column("quality"),
+                batch.column("rank"), batch.column("doc_id"), batch.column("quality"), batch.column("key"),
                 pa.array([slots[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
                 pa.array([values[a:b].astype("<f4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
-                ["rank", "doc_id", "quality", "slots", "values"])
+                ["rank", "doc_id", "quality", "key", "slots", "values"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(np.frombuffer(s, np.int32), np.frombuffer(v, "<f4").astype(float), q) for batch in batches
@@ -118,8 +118,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
                 model.learn(*row)
         yield pa.RecordBatch.from_pydict({"weights": [model.weights(slice(None)).astype("<f4").tobytes()]})
 
-    rows = texts.mapInArrow(sparse, "rank long, doc_id long, quality int, slots binary, values binary")
-    ordered = rows.orderBy("rank", "doc_id", "quality", "slots").limit(sample)  # one row per document at most, whatever repeats
+    rows = texts.mapInArrow(sparse, "rank long, doc_id long, quality int, key long, slots binary, values binary").distinct()
+    ordered = rows.orderBy("rank", "doc_id", "quality", "slots", "key").limit(sample)
     fitted = ordered.coalesce(1).mapInArrow(fit, "weights binary").first()
     return np.frombuffer(fitted["weights"], "<f4") if fitted else np.zeros(1 + (1 << BITS), "<f4")
 

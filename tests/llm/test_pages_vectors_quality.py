@@ -5,6 +5,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from civiclake.llm import annsearch, quality, urlfilter, warc
 from civiclake.llm.common import shared_dir
@@ -160,3 +161,15 @@ def test_quality_of_odd_rows(spark):
     assert quality.score(docs.limit(0), weights).count() == 0
     none = quality.train(docs, labels.limit(0))
     assert {r.score for r in quality.score(docs, none).collect()} == {0.5}
+
+
+def test_repeated_rows_and_labels_take_one_place_of_the_sample(spark):
+    docs = [(k, f"alpha beta gamma {k}" if k % 2 else f"zeta eta theta {k}") for k in range(60)]
+    labels = [(k, k % 2) for k in range(60)]
+    frames = lambda d, m: (spark.createDataFrame(d, "doc_id long, text string"), spark.createDataFrame(m, "doc_id long, quality int"))
+    first = spark.range(60).select("id").where(~quality.held_out(F.col("id"))).orderBy(F.xxhash64("id")).first()[0]
+    plain = quality.train(*frames(docs, labels), sample=30)
+    for d, m in ((docs + [docs[first]] * 40, labels), (docs, labels + [labels[first]] * 40)):
+        assert np.array_equal(quality.train(*frames(d, m), sample=30), plain)
+    scores = {r.doc_id: r.score for r in quality.score(frames(docs, labels)[0], plain).collect()}
+    assert all((scores[k] > 0.5) == bool(q) for k, q in labels)
