@@ -171,8 +171,8 @@ def district_rankings(tonnage: DataFrame) -> DataFrame:
 
 def organics_rollout(tonnage: DataFrame, since: int = 2013) -> DataFrame:
     served = F.col(ORGANICS[0]) > 0
-    # The bound on the stored text reaches the scan; the one on the parsed year refuses what is no year.
-    return (tonnage.where(F.col("month") >= str(since)).withColumn("year", month_part("month", 1)).where(F.col("year") >= since)
+    # Only the parsed year is bounded: the stored text may open with blanks, a sign or zeros, which sort below any year.
+    return (tonnage.withColumn("year", month_part("month", 1)).where(F.col("year") >= since)
             .groupBy("borough", "year").agg(
                 F.countDistinct("community_district").alias("total_districts"),
                 F.countDistinct(F.when(served, F.col("community_district"))).alias("districts_with_res_organics"),

@@ -133,6 +133,17 @@ def test_aggregates_combine_before_the_shuffle(spark):
     assert "partial_sum" in plan
 
 
+def test_organics_rollout_reads_months_with_leading_blanks_signs_and_zeros(spark):
+    months = ["2014 / 05", " 2014 / 06", "  2014 / 07", "+2014 / 08", "02014 / 09", "2012 / 05", " 2012 / 06", "unknown", None]
+    tons = ["refuse_tons_collected", "paper_tons_collected", "mgp_tons_collected", "res_organics_tons", "school_organic_tons", "leaves_organic_tons",
+            "xmas_tree_tons", "other_organics_tons"]
+    df = spark.createDataFrame([(m, "Bronx", str(k), *[1.0] * len(tons)) for k, m in enumerate(months)],
+                               "month string, borough string, community_district string, " + ", ".join(f"{t} double" for t in tons))
+    years = {r.year: r["count"] for r in df.groupBy(analytics.month_part("month", 1).alias("year")).count().collect()}
+    made = {r.year: r.total_districts for r in analytics.organics_rollout(df).collect()}
+    assert made == {y: n for y, n in years.items() if y is not None and y >= 2013} and made[2014] >= 3
+
+
 def test_unpivot_replaces_five_scans(spark):
     plan = plan_of(analytics.contributing_factors(Source(spark, SF_DIR).collisions))
     assert "Expand" in plan and plan.count("Scan parquet") == 1
