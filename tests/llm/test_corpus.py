@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import pickle
 import random
 import re
 
@@ -280,6 +281,18 @@ def test_leaks_are_those_within_the_bound(spark, monkeypatch):
         assert min(best_distance(item, text[:n]) for n in range(len(item) + r.distance + 1)) == r.distance
 
 
+def test_a_very_long_item_takes_memory_by_its_bytes():
+    pick = random.Random(4)
+    item = bytes(pick.choices(b"abcdefgh ", k=100_000)).replace(b"  ", b"x ")
+    held = decontaminate.Items([1], [item])
+    assert len(pickle.dumps(held)) < 100 * len(item)
+    copy = bytearray(item)
+    for place in range(10, len(item), 20):  # 5 % edits at even distances
+        copy[place] = 35
+    text = np.frombuffer(b"zz " + bytes(copy) + b" zz", np.uint8)
+    assert [m[:3] for m in held.matches(text, np.array([0, len(text)]))] == [(0, 0, len(range(10, len(item), 20)))]
+
+
 def test_leaks_query_finds_every_exact_passage(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
