@@ -7,7 +7,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
-from civiclake.operators.ordering import grouped_position, top_per_group
+from civiclake.operators.ordering import By, grouped_position, top_per_group
 
 
 def _direction(rank_col: str, descending: bool):
@@ -21,7 +21,7 @@ def add_duplicate_markers(df: DataFrame, *, key_cols: list[str], rank_col: str,
     """Rows per key and the ordinal rank within the key (1 = preferred); rows without a rank value
     get none. Equal rank values are ordered by ``tiebreak``, which should end in a unique column: it also lets a
     key with one rank value be spread over many tasks."""
-    placed = grouped_position(df, key_cols, [_direction(rank_col, descending), *tiebreak],
+    placed = grouped_position(df, key_cols, [By(rank_col, descending, nulls_last=True), *tiebreak],
                               position=rank_out_col, group_size=count_col)
     ranked = F.when(F.col(rank_col).isNotNull(), F.col(rank_out_col).cast("int"))
     return placed.select(*df.columns, count_col, ranked.alias(rank_out_col))

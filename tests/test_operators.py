@@ -1,11 +1,12 @@
 """Operators on skewed data against plain Python."""
 
 import random
+import re
 from datetime import date
 from statistics import median, quantiles
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from civiclake.operators import dedup, filters, ordering, unions
 from civiclake.operators.unions import YearSource
@@ -35,19 +36,49 @@ def test_positions_of_a_hot_key(skewed):
 
 def test_positions_when_one_value_fills_many_partitions(spark):
     df = spark.range(5000).select(F.lit("only").alias("k"), F.lit(1).alias("v"), "id").repartition(5)
-    made = ordering.grouped_position(df, ["k"], ["v", F.desc("id")], group_size="n")
+    made = ordering.grouped_position(df, ["k"], ["v", ordering.desc("id")], group_size="n")
     assert made.where("position <> 5000 - id OR n <> 5000").isEmpty() and made.count() == 5000
 
 
-def test_no_task_holds_the_hot_key(spark, skewed):
+def test_ranges_split_a_hot_key_and_need_no_checkpoint(spark, skewed):
     rows, df = skewed
-    parts = df.repartitionByRange(8, "k", "v", "id").where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-    assert len(parts) >= 2 and max(r["count"] for r in parts) < 2000
+    ranges = ordering.Ranges.of(df, [ordering.By("k"), ordering.desc("v"), ordering.By("id")])
+    numbered = ranges.number(df).withColumnRenamed("__range", "r")
+    sizes = numbered.where("k = 'hot'").groupBy("r").count().collect()
+    assert len(sizes) >= 5 and max(r["count"] for r in sizes) < 600
+    order = {i: n for n, (_, _, i) in enumerate(sorted((k or "", -v, i) for i, k, v in rows))}
+    held = sorted((order[r.id], r.r) for r in numbered.collect())
+    assert [r for _, r in held] == sorted(r for _, r in held)  # ranges follow the order
+    items = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_suppkey", "l_orderkey", "l_linenumber")
+    plan = ordering.grouped_position(items, ["l_suppkey"], ["l_orderkey", "l_linenumber"])._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"Scan ExistingRDD\[(\w+)", plan)) <= {"__k0"} and "Exchange rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("order", [[ordering.By("a", nulls_last=True), "b"], [ordering.desc("a"), ordering.desc("b")], [ordering.desc("a", nulls_last=False), "b"], ["a", "b"]])
+def test_positions_with_nulls_nan_and_ties(spark, order):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, "x", "y"]), rng.choice([None, -1.5, 0.0, 2.0, float("nan"), float("inf")]), k) for k in range(700)]
+    df = spark.createDataFrame(rows, "k string, a double, b int").repartition(5)
+    window = Window.partitionBy("k").orderBy(*[o.sort for o in ordering._as_order(order)])
+    expected = {r.b: r.n for r in df.withColumn("n", F.row_number().over(window)).collect()}
+    assert {r.b: r.position for r in ordering.grouped_position(df, ["k"], order).collect()} == expected
+    whole = Window.orderBy(*[o.sort for o in ordering._as_order(order)])
+    expected = {r.b: r.n for r in df.withColumn("n", F.row_number().over(whole)).collect()}
+    assert {r.b: r.position for r in ordering.table_position(df, order).collect()} == expected
+    assert ordering.grouped_position(df.limit(0), ["k"], order).count() == 0 and ordering.table_position(df.limit(0), order).count() == 0
+
+
+def test_quantiles_of_odd_values(spark):
+    values = [-1e300, -5.0, -0.0, 0.0, 1e-300, 3.0, 3.0, 7.5, 1e18, float("inf")]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", 2.0), ("c", None)], "k string, v double")
+    made = {r.k: r for r in ordering.grouped_quantiles(df, ["k"], {"v": {"low": 0.0, "mid": 0.5, "high": 8 / 9}}).collect()}
+    assert (made["a"].low, made["a"].mid, made["a"].high) == (-1e300, pytest.approx(1.5), 1e18) and made["b"].mid == 2.0 and "c" not in made
+    assert ordering.grouped_quantiles(df.limit(0), ["k"], "v", {"mid": 0.5}).count() == 0
 
 
 def test_pages(skewed):
     rows, df = skewed
-    paged = ordering.page_index(df, [F.desc("v"), "id"], 700)
+    paged = ordering.page_index(df, [ordering.desc("v"), "id"], 700)
     order = [i for i, _, _ in sorted(rows, key=lambda r: (-r[2], r[0]))]
     assert {r.id: r.row_offset for r in paged.collect()} == {i: n for n, i in enumerate(order)}
     plan = [tuple(r) for r in ordering.page_plan(paged, 700).orderBy("page").collect()]

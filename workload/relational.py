@@ -277,7 +277,7 @@ def _(s):
 @query("W03_row_number", "SELECT l_suppkey, l_orderkey, l_partkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_orderkey, l_partkey, l_linenumber) AS position FROM lineitem")
 def _(s):
     items = s.lineitem.select("l_suppkey", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    return ordering.grouped_position(items, ["l_suppkey"], [F.desc("l_quantity"), "l_orderkey", "l_partkey", "l_linenumber"]).drop("l_quantity")
+    return ordering.grouped_position(items, ["l_suppkey"], [ordering.desc("l_quantity"), "l_orderkey", "l_partkey", "l_linenumber"]).drop("l_quantity")
 
 
 @query("W04_share_of_total", "SELECT p_type, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1")

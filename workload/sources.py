@@ -307,8 +307,7 @@ def _(s):
 def _(s):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     paged = ordering.page_index(s.lineitem.select(*keys), keys, 7000)
-    first = paged.groupBy("page").agg(F.min("l_orderkey").alias("first_order"))
-    return ordering.page_plan(paged, 7000).withColumnRenamed("rows", "row_count").join(first, "page")
+    return ordering.page_plan(paged, 7000, first={"first_order": "l_orderkey"}).withColumnRenamed("rows", "row_count")
 
 
 @query("S26_slices_to_one_table", f"SELECT o_orderkey, o_totalprice, {_YM} FROM orders WHERE year(o_orderdate) = 1997")
