@@ -1,13 +1,15 @@
 """Positions in an order, worked out without ever moving a whole group (or table) to one task.
 
-Rows fall into ranges of (keys, order) whose borders are literal values, taken from a random sample of bounded
-size. A row's range depends on nothing but its own values, so any task that is repeated places it alike and
-nothing has to be written in between. Each range is numbered by itself; the counts of the ranges that share a
-key, two per border at most, supply the offsets. The input is read three times: write an expensive one first.
+A random sample of bounded size shows the keys that hold much of the table. Their rows fall into ranges of the order
+whose borders are literal values. A row's range depends on nothing but its own values, so any task that is repeated
+places it alike and nothing has to be written in between. Each range is numbered by itself; the counts of the ranges
+that share a key, two per border at most, supply the offsets. The input is read twice, and once more for the counts
+of such keys: write an expensive one first.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -45,7 +47,7 @@ class By:
     def rising(self, kind: DataType) -> list[Column] | None:
         """Columns that, compared as they are with nulls first, never fall along the order; None if there are none."""
         c = as_column(self.column)
-        flags = [c.isNull() if self.last else c.isNotNull()]
+        flags = [c.isNull()] if self.last else [c.isNotNull()] if self.descending else []  # a null alone comes first
         if isinstance(kind, (TimestampType, TimestampNTZType)):
             c, kind = F.unix_micros(c.cast("timestamp")), LongType()
         elif isinstance(kind, DateType):
@@ -88,24 +90,32 @@ class Ranges:
     columns: list[Column]
     borders: list[tuple]
     types: list[DataType]
+    width: int = 0  # columns that tell the keys
+    whole: bool = True  # whether these tell all of them
 
     @staticmethod
-    def of(df: DataFrame, by: list[By]) -> Ranges:
-        """Ranges of about one size, from a random sample that the driver sorts out."""
+    def of(df: DataFrame, by: list[By], keys: int = 0) -> Ranges:
+        """Ranges of about one size, from a random sample that the driver sorts out. Where the first ``keys`` columns
+        are keys that are placed each by itself, only borders inside a key that holds two or more of them stay."""
         kinds = df.select(*[as_column(b.column).alias(f"c{k}") for k, b in enumerate(by)]).schema
         columns: list[Column] = []
+        width = told = 0
         for b, field in zip(by, kinds):
             more = b.rising(field.dataType)
             if more is None:
                 break
             columns += more
+            told += 1
+            width = len(columns) if told <= keys else width
         if not columns:
             return Ranges([], [], [])
         count = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         values = df.select(*[c.alias(f"c{k}") for k, c in enumerate(columns)])
         rows = sorted(map(tuple, values.orderBy(F.rand(7)).limit(count * SAMPLED).collect()), key=_ascending)
         picked = dict.fromkeys(rows[k * len(rows) // count] for k in range(1, count)) if rows else {}
-        return Ranges(columns, list(picked), [f.dataType for f in values.schema])
+        held = Counter(b[:width] for b in picked)
+        borders = [b for b in picked if not keys or held[b[:width]] > 1]
+        return Ranges(columns, borders, [f.dataType for f in values.schema], width, told >= keys)
 
     def number(self, df: DataFrame) -> DataFrame:
         """The frame with the number of each row's range, by a tree of comparisons with the borders."""
@@ -124,13 +134,12 @@ class Ranges:
         keyed = df.withColumns(dict(zip(names, self.columns)))
         return keyed.withColumn(_RANGE, F.expr(among(0, len(self.borders)))).drop(*names)
 
-    def divided(self, df: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
-        """The rows whose key a border may divide, and whether their pieces are bounded by the number of borders."""
-        width = min(2 * len(keys), len(self.columns))
-        schema = StructType([StructField(f"__k{k}", t) for k, t in enumerate(self.types[:width])])
-        held = df.sparkSession.createDataFrame(list({b[:width] for b in self.borders}), schema)
-        same = reduce(and_, [c.eqNullSafe(F.col(f"__k{k}")) for k, c in enumerate(self.columns[:width])])
-        return df.join(F.broadcast(held), same, "left_semi"), width == 2 * len(keys)
+    def divided(self, df: DataFrame) -> DataFrame:
+        """The rows whose key a border may divide."""
+        schema = StructType([StructField(f"__k{k}", t) for k, t in enumerate(self.types[: self.width])])
+        held = df.sparkSession.createDataFrame(list({b[: self.width] for b in self.borders}), schema)
+        same = reduce(and_, [c.eqNullSafe(F.col(f"__k{k}")) for k, c in enumerate(self.columns[: self.width])], F.lit(True))
+        return df.join(F.broadcast(held), same, "left_semi")
 
 
 def _same(keys: list[str]) -> Column:
@@ -146,7 +155,7 @@ def grouped_position(df: DataFrame, keys: list[str], order: list, *, position: s
     ``order`` holds names, expressions, :class:`By` or :func:`desc`, and should end in a unique column to make ties
     repeatable."""
     order = _as_order(order)
-    ranges = Ranges.of(df, [*map(By, keys), *order])
+    ranges = Ranges.of(df, [*map(By, keys), *order], len(keys))
     ranged = ranges.number(df)
     piece = Window.partitionBy(_RANGE, *keys)
     here = F.row_number().over(piece.orderBy(*[o.sort for o in order])).cast("long")
@@ -156,14 +165,13 @@ def grouped_position(df: DataFrame, keys: list[str], order: list, *, position: s
     if not ranges.borders:
         return placed.select(*df.columns, position, *([F.col(_WHOLE).alias(group_size)] if group_size else []))
     # Only keys of borders lie in several ranges: two pairs of range and key for each border at most.
-    divided, bounded = ranges.divided(ranged, keys)
-    pieces = divided.groupBy(_RANGE, *keys).agg(F.count("*").alias("__n"))
+    pieces = ranges.divided(ranged).groupBy(_RANGE, *keys).agg(F.count("*").alias("__n"))
     whole = Window.partitionBy(*keys)
     earlier = whole.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         F.col(_RANGE).alias("__in"), *[F.col(k).alias(f"__o_{k}") for k in keys],
         F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias(_BASE), F.sum("__n").over(whole).alias("__all"))
-    joined = placed.join(F.broadcast(offsets) if bounded else offsets, (F.col(_RANGE) == F.col("__in")) & _same(keys), "left")
+    joined = placed.join(F.broadcast(offsets) if ranges.whole else offsets, (F.col(_RANGE) == F.col("__in")) & _same(keys), "left")
     added = [(F.col(position) + F.coalesce(_BASE, F.lit(0))).alias(position)]
     if group_size:
         added.append(F.coalesce("__all", _WHOLE).alias(group_size))
