@@ -1,6 +1,6 @@
 """Nearest neighbours by randomly rotated one-bit codes with error bounds, and exact reranking.
 
-Vectors are centred on a mean (of a bounded sample), rotated by a random orthogonal matrix and reduced to the
+Vectors are centred on a median per dimension (of a bounded sample, so that a few huge ones do not move it), rotated by a random orthogonal matrix and reduced to the
 signs of their coordinates: D bits, the length of the centred vector, and the inner product of the unit vector
 with its code, which corrects the estimate. For a query q and a vector o the inner product of their unit
 vectors is estimated as <code, q> / <code, o>; its error stays within ``epsilon`` standard deviations of a
@@ -9,12 +9,13 @@ random rotation with the probability that ``epsilon`` sets. The estimate gives b
 Blocks of coded vectors meet blocks of queries. A pair of blocks keeps, per query, the vectors whose lower
 bound does not exceed the k-th smallest upper bound of the block, reranks these by their true distance in double
 precision and hands on its k best; the k best of all blocks are the result. Every vector is coded and every
-block is met; no list has a cap.
+block is met; no list has a cap. A vector whose bounds overflow is compared in full.
 
 Contract: queries are the usable rows whose id is divisible by ``every``, candidates all usable rows but the
 query's own. A null vector, a zero vector and one with a null or non-finite component take no part, nor do
 vectors of another dimension than the sample's most common one, or rows with a null id. Repeated rows are
-candidates each. Ties in distance go to the smaller id. With fewer candidates than k all are returned.
+candidates each. Ties in distance go to the smaller id. With fewer candidates than k all are returned; an
+empty table has no rows. Values may be as large or small as doubles are. Columns beyond the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -46,7 +47,12 @@ def rotation(dim: int, seed: int = 7) -> np.ndarray:
 
 def encode(vectors: np.ndarray, mean: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed sign bits, lengths of the centred vectors, and inner products of unit vector and code."""
-    turned = (vectors - mean) @ turn
+    with np.errstate(all="ignore"):
+        turned = (vectors - mean) @ turn
+        return _coded(turned)
+
+
+def _coded(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     length = np.linalg.norm(turned, axis=1)
     inner = np.abs(turned).sum(axis=1) / np.where(length > 0, length, 1) / np.sqrt(turned.shape[1])
     return np.packbits(turned > 0, axis=1), length, np.where(length > 0, inner, 1.0)
@@ -69,7 +75,21 @@ def survivors(low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
     """Which columns of each row may belong to its k nearest."""
     if high.shape[1] <= k:
         return np.ones(high.shape, bool)
-    return low <= np.partition(high, k - 1, axis=1)[:, k - 1: k]
+    high = np.where(np.isnan(high), np.inf, high)  # a bound that overflows proves nothing
+    return ~(low > np.partition(high, k - 1, axis=1)[:, k - 1: k])
+
+
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances; where squares leave the range of doubles, vectors are first scaled by a power of two."""
+    with np.errstate(over="ignore", under="ignore"):
+        total = np.square(vectors - query).sum(axis=1)
+        out = np.sqrt(total)
+        for k in np.flatnonzero((total == np.inf) | (total < 1e-280)):
+            power = int(np.frexp(max(np.abs(vectors[k]).max(), np.abs(query).max()))[1]) + 1
+            apart = np.ldexp(vectors[k], -power) - np.ldexp(query, -power)
+            within = int(np.frexp(np.abs(apart).max())[1])
+            out[k] = np.ldexp(np.sqrt(np.square(np.ldexp(apart, -within)).sum()), within + power)
+        return out
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -96,7 +116,7 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     dim = dims["dim"]
     ready = ready.where(F.size("embedding") == dim)
     sample = ready.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select(F.posexplode("embedding"))
-    means = sample.groupBy("pos").agg(F.avg("col").alias("mean")).orderBy("pos").collect()  # a row per dimension
+    means = sample.groupBy("pos").agg(F.median("col").alias("mean")).orderBy("pos").collect()  # a row per dimension
     mean, turn = np.array([r["mean"] for r in means]), rotation(dim)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,13 +149,14 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
                 found = []
                 for a in range(0, len(queries), 64):
                     part = wanted[a: a + 64]
-                    low, high = bounds(bits, length, inner, (part - mean) @ turn)
+                    with np.errstate(all="ignore"):
+                        low, high = bounds(bits, length, inner, (part - mean) @ turn)
                     own = queries[a: a + 64, None] == ids
                     high[own] = np.inf  # the query itself bounds nothing
                     stays = survivors(low, high, k) & ~own
                     for r in range(len(part)):
                         some = np.flatnonzero(stays[r])
-                        score = np.sqrt(np.square(vectors[some] - part[r]).sum(axis=1))
+                        score = distances(vectors[some], part[r])
                         best = np.lexsort((ids[some], score))[:k]
                         found.append((np.full(len(best), queries[a + r]), ids[some[best]], score[best]))
                 columns = [np.concatenate(c) for c in zip(*found)]

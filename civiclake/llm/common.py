@@ -117,13 +117,17 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 
 
+#: The lowest bytes of an integer.
+_LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
 def word_hashes(data: np.ndarray, at: np.ndarray, lower: np.ndarray = _LOWER, classes: np.ndarray = ~_BLANK,
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of many texts at once: hashes, first bytes, ends, and the n + 1 offsets of each text's words.
 
     Words are runs of bytes of one class other than 0; by default of bytes other than space and 9-13, with
-    A-Z as a-z. A word's hash is a polynomial over its bytes modulo 2^64, taken from prefix sums, and mixed
-    with its length.
+    A-Z as a-z. A word's hash starts from its length and scrambles in eight bytes after eight, so that no
+    arrangement of letters cancels out.
     """
     n = len(data)
     kind = np.zeros(n + 2, np.uint8)
@@ -135,8 +139,22 @@ def word_hashes(data: np.ndarray, at: np.ndarray, lower: np.ndarray = _LOWER, cl
     begins[inner] |= here[inner]
     ends[inner - 1] |= here[inner - 1]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((lower[data].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    hashes = mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64) * _M2)
+    eight = np.concatenate([lower[data], np.zeros(7, np.uint8)]).astype(np.uint64)
+    for width in (1, 2, 4):
+        eight = eight[:-width] | eight[width:] << np.uint64(8 * width)
+    size = last - first
+    hashes, some, done = mix(size.astype(np.uint64) + _M2), np.arange(len(first)), 0
+    while len(some):
+        here = eight[first[some] + done] & _LOWEST[np.minimum(size[some] - done, 8)]
+        hashes[some] = mix((hashes[some] ^ here) * np.uint64(_BASE))
+        done += 8
+        some = some[size[some] > done]
     return hashes, first, last, np.searchsorted(first, at)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

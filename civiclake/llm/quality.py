@@ -12,7 +12,7 @@ with the smallest hashes of their ids (default SAMPLE). It is trained in one tas
 
 Contract: one row per input row. Null and empty texts have no feature and get the score of the bias. A null
 doc_id is never held out and never trained on. Null labels are ignored, repeated rows and labels count once, contrary labels both. Without
-any label the score is 0.5. Columns beyond the named ones are ignored.
+any label the score is 0.5. Other columns are kept; one of the score's name is refused.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import blocks, buffers, mix, small_batches, table, word_hashes
+from civiclake.llm.common import blocks, buffers, free_name, mix, small_batches, table, word_hashes
 
 BITS = 18
 #: Labelled rows to train on, at most.
@@ -124,8 +124,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     return np.frombuffer(fitted["weights"], "<f4") if fitted else np.zeros(1 + (1 << BITS), "<f4")
 
 
-def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """All columns of ``docs`` with ``score``, the probability of label 1; ``docs`` has a column text."""
+def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
+    """All columns of ``docs`` with ``name``, the probability of label 1; ``docs`` has a column text and none of that name."""
+    if free_name(docs, name) != name:
+        raise ValueError(f"documents have a column {name} already; give another name")
     small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -134,11 +136,9 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             data, at = buffers(batch.column("text"))
             text, slots, values = features(data, at)
             total = np.bincount(text, model.value[slots] * values, len(at) - 1) + float(model.value[-1])
-            scores = 1 / (1 + np.exp(-total))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-total)), pa.float64())], [*batch.schema.names, name])
 
-    schema = docs.drop("score").schema.add("score", "double")
-    return docs.drop("score").mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.withColumn(name, F.lit(0.0)).schema)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

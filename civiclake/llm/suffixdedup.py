@@ -6,7 +6,7 @@ all statements below are exact.
 1. Candidates. Each window is keyed by the smallest hash of the ``ANCHOR``-byte strings inside it, so equal
    windows have equal keys. Neighbouring windows with one key form a segment (key, place, windows). A key that
    occurs in one segment only, and once in it, repeats nothing and goes, which leaves little of a corpus.
-2. Equal segments. Segments of a key with equal bytes (by a 64-bit digest) repeat each other entirely.
+2. Equal segments. Segments of a key with equal bytes (by a 64-bit BLAKE2 digest within the key) repeat each other entirely.
    Where a key has several different segments, one of each is sorted.
 3. Shards. Segments are dealt to shards by key, so equal windows meet. A shard's suffix array is built by
    Larsson-Sadakane refinement: ranks of 8 bytes, then doubled depths inside the groups still unsorted. Kasai's
@@ -20,7 +20,7 @@ all statements below are exact.
 Contract: one row per input row. Null texts are empty; texts below ``length`` bytes stay whole. Repeated rows
 are documents like others: their text repeats and goes. Rows are told apart by a 64-bit hash of doc_id and
 text. Cutting bytes can split a character; :func:`drop_repeats` then leaves the broken bytes out. Extra columns
-are kept by :func:`drop_repeats`; names starting with ``__`` are reserved. Empty tables give empty results.
+are kept by :func:`drop_repeats`, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import blocks, buffers, materialise, mix, powers, small_batches, table
+from civiclake.llm.common import blocks, buffers, free_name, materialise, mix, powers, small_batches, table
 
 LENGTH = 200
 ANCHOR = 32
@@ -43,7 +43,6 @@ ANCHOR = 32
 _CUT = 12
 #: Text bytes of a shard.
 SHARD = 2 << 20
-_SPAN = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _sums(data: np.ndarray) -> np.ndarray:
@@ -53,9 +52,11 @@ def _sums(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hashes(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Hashes of the strings [first, last)."""
-    return mix((sums[last] - sums[first]) * powers(len(sums))[1][first] + (last - first).astype(np.uint64) * _SPAN)
+def _digests(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit BLAKE2 digests of the strings [first, last)."""
+    raw = memoryview(data.tobytes())
+    found = b"".join([hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(first.tolist(), last.tolist())])
+    return np.frombuffer(found, np.uint64)
 
 
 def _window_keys(sums: np.ndarray, n: int, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +98,7 @@ def segments(data: np.ndarray, at: np.ndarray, length: int = LENGTH, anchor: int
     total = np.concatenate([[0], np.cumsum(leaves)])
     recurs = total[end - 1] > total[begin]
     text = np.searchsorted(at, begin, side="right") - 1
-    return text, begin - at[text], end - begin, keys[begin], _hashes(sums, begin, end + length - 1), recurs
+    return text, begin - at[text], end - begin, keys[begin], _digests(data, begin, end + length - 1), recurs
 
 
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,16 +199,14 @@ def _sort_shard(group: pd.DataFrame) -> pd.DataFrame:
     group = group.drop_duplicates(["key", "digest"]).reset_index(drop=True)
     flags, first, text = repeated_windows(group["bytes"].tolist())
     out = []
-    sums = None
     for k, (key, dig, raw, parts, many) in enumerate(zip(group["key"], group["digest"], group["bytes"], group["parts"], group["many"])):
         windows = len(raw) - LENGTH + 1
         own = flags[first[k]: first[k] + windows]
         if not many and own.any():
             out.append((key, dig, _runs(own).astype("<i4").tobytes(), -1, None))
         if parts > 1:  # windows are cut into ranges of their hashes by binary search in the sorted list
-            sums = _sums(text) if sums is None else sums
-            places = first[k] + np.arange(windows)
-            hashes = _hashes(sums, places, places + LENGTH)
+            places = np.arange(windows)
+            hashes = _digests(text[first[k]: first[k] + len(raw)], places, places + LENGTH)
             ranked = np.argsort(hashes)
             hashes = hashes[ranked]
             borders = np.searchsorted(hashes, _borders(parts))
@@ -393,17 +392,18 @@ def digests(docs: DataFrame) -> DataFrame:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """The documents with repeated strings cut out of ``text``; the other columns stay."""
     small_batches(docs.sparkSession)
-    rows = docs.withColumn("__row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    spans = materialise(repeated_spans(rows.select("__row", F.coalesce("text", F.lit("")).alias("text"))), "spans")
+    row, held = free_name(docs, "__row"), free_name(docs, "__spans")
+    rows = docs.withColumn(row, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    spans = materialise(repeated_spans(rows.select(F.col(row).alias("__row"), F.coalesce("text", F.lit("")).alias("text"))), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, found = batch.column("text").to_pylist(), batch.column("__spans").to_pylist()
+            texts, found = batch.column("text").to_pylist(), batch.column(held).to_pylist()
             left = [t if not s else _kept(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(texts, found)]
-            columns = [pa.array(left, pa.string()) if c == "text" else batch.column(c) for c in batch.schema.names if c != "__spans"]
-            yield pa.RecordBatch.from_arrays(columns, [c for c in batch.schema.names if c != "__spans"])
+            names = [c for c in batch.schema.names if c != held]
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()) if c == "text" else batch.column(c) for c in names], names)
 
-    joined = rows.join(spans.select(F.col("row").alias("__row"), F.col("spans").alias("__spans")), "__row", "left").drop("__row")
+    joined = rows.join(spans.select(F.col("row").alias(row), F.col("spans").alias(held)), row, "left").drop(row)
     return joined.mapInArrow(cut, docs.schema)
 
 

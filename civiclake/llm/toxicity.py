@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclake.llm.common import blocks, buffers, mix, small_batches, table
+from civiclake.llm.common import blocks, buffers, free_name, mix, small_batches, table
 
 #: Labelled documents of each class to learn from, their bytes in sum, and the bytes of one of them, at most.
 SAMPLE, BYTES, LONGEST = 8_000, 32 << 20, 1 << 20
@@ -221,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` with ``score``, the probability that its column text is toxic."""
-    if "score" in (c.lower() for c in docs.columns):
+    if free_name(docs, "score") != "score":
         raise ValueError("documents have a column score already; rename it first")
     small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from civiclake.llm import decontaminate, ngramjoin, suffixdedup
+from civiclake.llm.common import word_hashes
 from civiclake.llm.components import components
 from civiclake.llm.queries import QUERIES
 
@@ -377,6 +378,43 @@ def test_pipeline_stages_against_brute_force(spark):
     assert set(clean) <= set(cut) - dirty and set(last) == set(clean)
 
 
+@pytest.fixture(scope="module")
+def thue_morse():
+    """Two strings of the letters a and b that a polynomial modulo 2^64 does not tell apart."""
+    first = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    return first, first.translate(str.maketrans("ab", "ba"))
+
+
+def test_unlike_words_do_not_collide(spark, thue_morse):
+    df = spark.createDataFrame([(1, thue_morse[0]), (2, thue_morse[1]), (3, thue_morse[0].upper())], "doc_id long, text string")
+    assert sorted(tuple(r) for r in ngramjoin.near_duplicates(df).collect()) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+    raw = "".join(thue_morse).encode()
+    data, at = np.frombuffer(raw, np.uint8), np.array([0, 1024, 2048])
+    assert len(np.unique(suffixdedup._digests(data, at[:-1], at[1:]))) == 2
+
+
+def test_word_hashes_are_those_of_words_alone():
+    pick = random.Random(12)
+    words = ["".join(pick.choices("abAB\u00e9", k=n)) for n in range(1, 40) for _ in range(5)]
+    text = " ".join(words).encode()
+    hashes = word_hashes(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+    lowered = [w.encode().translate(_LOW) for w in words]
+    alone = [int(word_hashes(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0][0]) for w in lowered]
+    assert hashes.tolist() == alone and len(set(alone)) == len(set(lowered))
+
+
+@pytest.mark.parametrize("name", ["score", "__score", "__key", "__size", "__group", "__n", "__row", "__spans", "row", "tokens", "item_id"])
+def test_pipeline_keeps_clashing_columns(spark, name):
+    import corpus_pipeline
+
+    pick = random.Random(13)
+    texts = [prose(pick, 60) for _ in range(6)]
+    docs = spark.createDataFrame([(k, t, -5.0 - k) for k, t in enumerate([*texts, texts[0], ""])], f"doc_id long, text string, {name} double")
+    for step, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        made = stage(spark, docs, SF)
+        assert made.columns == docs.columns and all(r[2] == -5.0 - r.doc_id for r in made.collect()), step
+
+
 def test_pipeline_of_odd_rows(spark):
     import corpus_pipeline
 

@@ -118,6 +118,24 @@ def test_neighbours(spark):
     assert [r.rank for r in few] == [1, 2]
 
 
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    from fractions import Fraction
+
+    random = np.random.default_rng(8)
+    vectors = random.standard_normal((500, 12))
+    vectors[3, 4], vectors[100], vectors[200, :], vectors[7] = 1e160, 1e-170 * random.standard_normal(12), -1.7e308, 1e-170 * random.standard_normal(12)
+    made = annsearch.search(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>"), 10, 100).collect()
+    assert len(made) == 50
+    for q in range(0, 500, 100):
+        scores = annsearch.distances(vectors, vectors[q])
+        best = [k for k in np.lexsort((np.arange(500), scores)) if k != q][:10]
+        mine = sorted((r.rank, r.vec_id, r.score) for r in made if r.query_id == q)
+        assert len({k for _, k, _ in mine} & set(best)) >= 9 and all(s == scores[k] for _, k, s in mine)
+    for a, b in ((3, 4), (7, 100), (7, 8), (3, 5)):
+        exact = sum((Fraction(x) - Fraction(y)) ** 2 for x, y in zip(vectors[a].tolist(), vectors[b].tolist()))
+        assert abs(Fraction(float(annsearch.distances(vectors[a: a + 1], vectors[b])[0])) ** 2 / exact - 1) < 1e-12
+
+
 def test_bounds_hold():
     random = np.random.default_rng(1)
     data, query = random.standard_normal((4000, 64)), random.standard_normal((20, 64))
