@@ -306,17 +306,27 @@ class Diagnostics:
 
 
 ROW_ID = "__row_id"
+#: Rows that one step of writing out repeated rows makes at once.
+_COPIES = 10_000
 
 
 def dropped_rows(raw: DataFrame, contract: dict, transform, *, timezone: str = "America/New_York") -> DataFrame | None:
-    """Contract-shaped rows that do not survive ``transform``; None when the transform loses the row
-    id. The numbered rows are written once, so both sides of the anti join see the same ids."""
+    """Contract-shaped rows that do not survive ``transform``; None when the transform loses the row id.
+
+    A row's id is the digest of its values, so both sides may be worked out anew and agree; nothing is written in
+    between. Equal rows share it, and as many of them are reported as are missing behind the transform."""
     shaped = apply_schema_contract(raw, contract, timezone=timezone, drop_unknown=False)
-    numbered = materialize(with_row_index(shaped, ROW_ID))
-    kept = transform(numbered)
+    values = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in shaped.columns]))
+    named = shaped.withColumn(ROW_ID, F.sha2(values, 256))
+    kept = transform(named)
     if ROW_ID not in kept.columns:
         return None
-    return numbered.join(kept.select(ROW_ID), ROW_ID, "left_anti").drop(ROW_ID)
+    before = named.groupBy(ROW_ID).agg(F.count("*").alias("__n"), F.first(F.struct(*shaped.columns)).alias("__row"))
+    after = kept.groupBy(ROW_ID).agg(F.count("*").alias("__kept"))
+    missing = before.join(after, ROW_ID, "left").withColumn("__missing", F.col("__n") - F.coalesce("__kept", F.lit(0))).where("__missing > 0")
+    runs = missing.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__missing") - 1, F.lit(_COPIES).cast("long"))))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("__missing") - F.col("__from"), F.lit(_COPIES).cast("long"))))
+    return runs.select("__row", copies.alias("__copy")).select("__row.*")
 
 
 def report_dropped(dropped: DataFrame | None, diagnostics: Diagnostics, csv_path: str) -> dict:
