@@ -3,8 +3,8 @@
 1. A pass over the texts adds up hashed counts of words and of neighbouring words in tables of fixed size. A slot
    below the threshold proves that none of its words or pairs is frequent; the rest are kept as two bit maps.
 2. A second pass follows, from every word, the pairs that may be frequent, to at most LONGEST words. These suffixes
-   are counted where they are equal, and routed by the hash of their language and ROUTED leading words, so that a
-   frequent leading pair is dealt over many tasks. Single words are counted alongside.
+   are counted where they are equal, and routed by the hash of their language and two leading words and one of SPLIT
+   classes of the third, so that a frequent leading pair is dealt over several tasks. Single words are counted alongside.
 3. Each route sorts its suffixes by multikey three-way quicksort: the weight of an equal partition is the count of the
    phrase it stands for; partitions below the threshold are abandoned. A phrase shorter than the routing words is
    counted in part by several routes, never abandoned there, and added up.
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from civiclake.llm.common import materialise, mix, small_batches, table, word_hashes
 
-#: Words of the longest phrase, and leading words that route a suffix.
-LONGEST, ROUTED = 5, 3
+#: Words of the longest phrase, leading words that route a suffix, and routes over which the third deals a leading pair.
+LONGEST, ROUTED, SPLIT = 5, 3, 4
 #: Occurrences of a phrase, at least; phrases of each lang that are returned.
 LEAST, BEST = 100, 2000
 #: Bits of the hashed counts of pairs and of single words, and slots of a part of these tables.
@@ -201,10 +201,9 @@ class Suffixes:
         first = np.flatnonzero(np.concatenate([[True], (suffixes[1:] != suffixes[:-1]).any(axis=1)]))
         weights, suffixes = np.diff(np.append(first, len(suffixes))), suffixes[first]
         hashes = np.array(self.hashes, np.uint64)
-        lead = hashes[suffixes[:, 0]]
-        for k in range(1, ROUTED):
-            lead = mix(lead * _STEP + hashes[suffixes[:, k]])
-        route = (lead % np.uint64(routes)).astype(np.int64)
+        pair = mix(hashes[suffixes[:, 0]] * _STEP + hashes[suffixes[:, 1]])
+        third = mix(pair * _STEP + hashes[suffixes[:, 2]]) % np.uint64(SPLIT)
+        route = (mix(pair + third) % np.uint64(routes)).astype(np.int64)
         strings = [b"", *self.vocabulary]
         pack = zstandard.ZstdCompressor(1).compress
         order = np.argsort(route, kind="stable")
