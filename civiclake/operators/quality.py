@@ -6,6 +6,7 @@ folder names is looked at on the driver.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -15,7 +16,7 @@ from civiclake.functions.classify import assemble_annotations
 from civiclake.operators.layout import with_row_index
 from civiclake.operators.unions import YearSource, active_source
 from civiclake.session import materialize
-from civiclake.sources.landing import landing_files, scan_landing_records
+from civiclake.sources.landing import CORRUPT, landing_files, scan_landing_records
 from civiclake.sources.storage import child_names, matches, partition_path
 from civiclake.sources.tables import read_table
 
@@ -56,11 +57,46 @@ def landing_counts(spark: SparkSession, root: str, by: list[str], keys: list[str
     return grouped.agg(F.count("*").alias("landing_rows"), F.count_if("parsed").alias("parsed_rows"))
 
 
+class LandingTally:
+    """Landing and parsed rows counted while the clean rows are written, so that the shards are parsed once.
+
+    With ``months`` (year, month) the counts are kept per month, at most twelve a year. A count is right when
+    every task of the scan adds to it once: an exchange above the scan may repeat tasks after a lost executor
+    or for the samples of a sort, and a limit ends them early. :meth:`holds` tells whether a frame is free of
+    these; otherwise the records are to be counted by :func:`landing_counts`."""
+
+    def __init__(self, months: list[tuple[str, str]] | None = None):
+        self._months = months
+        self._seen = Observation()
+
+    def watch(self, records: DataFrame) -> DataFrame:
+        """Well-formed records of a marked scan, all of them counted on the way."""
+        parsed = F.col(CORRUPT).isNull()
+        groups = [F.lit(True)] if self._months is None else [(F.col("year") == y) & (F.col("month") == m) for y, m in self._months]
+        counts = [F.count_if(g & p).alias(f"{name}{i}") for i, g in enumerate(groups)
+                  for name, p in (("landing", F.lit(True)), ("parsed", parsed))]
+        return records.observe(self._seen, *counts).where(parsed).drop(CORRUPT)
+
+    @staticmethod
+    def holds(df: DataFrame) -> bool:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.count("CollectMetrics") >= 1 and not re.search(r"\bExchange\b|Limit\b|TakeOrdered|InMemoryTableScan", plan)
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """The counts after the write, shaped as those of :func:`landing_counts`."""
+        seen = self._seen.get
+        shape = "landing_rows bigint, parsed_rows bigint"
+        if self._months is None:
+            return spark.createDataFrame([(seen["landing0"], seen["parsed0"])], shape)
+        rows = [(y, m, seen[f"landing{i}"], seen[f"parsed{i}"]) for i, (y, m) in enumerate(self._months)]
+        return spark.createDataFrame([r for r in rows if r[2]], f"year string, month string, {shape}")
+
+
 def clean_counts(spark: SparkSession, root: str, by: list[str] = (), keys: list[str] | None = None) -> DataFrame:
     """Rows of a clean table per hive column value; an absent table has none. Parquet footers hold
-    the counts, so no column is read."""
+    the counts, so no column is read and schemas need not be merged."""
     try:
-        table = read_table(spark, root, keys)
+        table = read_table(spark, root, keys, merge_schema=False)
     except FileNotFoundError:
         if by:
             return spark.createDataFrame([], ", ".join([f"{c} string" for c in by] + ["clean_rows bigint"]))
@@ -118,10 +154,13 @@ def with_verdict(df: DataFrame, *, allow_row_drop: bool = False, empty_months: b
 # -- accounting of one partition ------------------------------------------------------------------
 
 def flat_accounting(spark: SparkSession, landing_root: str, clean_root: str, key: str | None = None, *,
-                    allow_row_drop: bool = False) -> DataFrame:
-    """One row: landing, parsed and clean rows, their gaps and the verdict."""
+                    allow_row_drop: bool = False, landed: DataFrame | None = None) -> DataFrame:
+    """One row: landing, parsed and clean rows, their gaps and the verdict. ``landed`` are landing counts
+    already at hand; the shards are parsed for them otherwise."""
     keys = [key] if key else None
-    layers = [landing_counts(spark, landing_root, [], keys), clean_counts(spark, clean_root, [], keys)]
+    if landed is None:
+        landed = landing_counts(spark, landing_root, [], keys)
+    layers = [landed, clean_counts(spark, clean_root, [], keys)]
     return with_verdict(with_gaps(_combine(layers, [])), allow_row_drop=allow_row_drop)
 
 
@@ -131,13 +170,15 @@ def landed_months(spark: SparkSession, root: str, years: list[str]) -> list[tupl
             for name in child_names(spark, partition_path(root, year)) if name.startswith("month=")]
 
 
-def monthly_landing(spark: SparkSession, root: str, years: list[str]) -> DataFrame:
-    """Twelve rows per year: status, files, landing and parsed rows, also for months not landed."""
+def monthly_landing(spark: SparkSession, root: str, years: list[str], counts: DataFrame | None = None) -> DataFrame:
+    """Twelve rows per year: status, files, landing and parsed rows, also for months not landed. ``counts``
+    per month already at hand save parsing the shards."""
     landed = set(landed_months(spark, root, years))
     spine = spark.createDataFrame(
         [(y, m, (y, m) in landed) for y in years for m in MONTHS], "year string, month string, landed boolean")
     keys = [f"{y}-{m}" for y, m in sorted(landed)]
-    counts = landing_counts(spark, root, ["year", "month"], keys) if keys else None
+    if counts is None and keys:
+        counts = landing_counts(spark, root, ["year", "month"], keys)
     months = spine if counts is None else spine.join(counts, ["year", "month"], "left")
     rows = {c: (F.coalesce(F.col(c), F.lit(0)) if counts is not None else F.lit(0)).cast("long")
             for c in ("landing_rows", "parsed_rows")}
@@ -158,10 +199,11 @@ def coverage(months: DataFrame) -> DataFrame:
 
 
 def monthly_accounting(spark: SparkSession, landing_root: str, clean_root: str, years: list[str], *,
-                       allow_row_drop: bool = False) -> DataFrame:
-    """One row per year for monthly landing and yearly clean partitions, with coverage and verdict."""
+                       allow_row_drop: bool = False, landed: DataFrame | None = None) -> DataFrame:
+    """One row per year for monthly landing and yearly clean partitions, with coverage and verdict;
+    ``landed`` as in :func:`monthly_landing`."""
     clean = clean_counts(spark, clean_root, ["year"], years)
-    joined = coverage(monthly_landing(spark, landing_root, years)).join(clean, "year", "left")
+    joined = coverage(monthly_landing(spark, landing_root, years, landed)).join(clean, "year", "left")
     filled = joined.withColumn("clean_rows", F.coalesce("clean_rows", F.lit(0)))
     return with_verdict(with_gaps(filled), allow_row_drop=allow_row_drop, empty_months=True)
 

@@ -13,7 +13,7 @@ from civiclake.operators import quality
 from civiclake.operators.enrichments import StandardEnrichments
 from civiclake.operators.quality import Diagnostics
 from civiclake.session import shared_dir
-from civiclake.sources.landing import scan_landing
+from civiclake.sources.landing import scan_landing, scan_landing_marked
 from civiclake.sources.tables import read_table, write_table
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -72,24 +72,44 @@ class LandingToClean:
         return scan_landing(spark, landing_root, keys, contract=self.contract)
 
     def run(self, spark: SparkSession, landing_root: str, clean_root: str, key: str | None = None) -> PipelineRun:
-        """Build and write one clean partition (or the whole table) and account for its rows."""
+        """Build and write one clean partition (or the whole table) and account for its rows. The shards are
+        parsed once: the job that writes the clean rows counts the records."""
         landing = self.scan(spark, landing_root, key)
         watched = quality.TransformCounts() if self.diagnostics.row_counts else None
-        clean = watched.watch(landing, self.transform) if watched else self.transform(landing)
+        transform = (lambda df: watched.watch(df, self.transform)) if watched else self.transform
+        tally, clean = self._tallied(spark, landing_root, key, transform)
+        if tally is None:
+            clean = transform(landing)
         path = write_table(clean, clean_root, key)
+        landed = tally.counts(spark) if tally else None
         counts = watched.result(spark) if watched else None
         dropped = {}
         if self.diagnostics.dropped_rows != "off":
             contract, _ = normalize_contract(self.contract)
             missing = quality.dropped_rows(landing, contract, self.enrich, timezone=self.timezone)
             dropped = quality.report_dropped(missing, self.diagnostics, shared_dir(spark, f"{self.name}-dropped"))
-        return PipelineRun(path, self.check(spark, landing_root, clean_root, key), counts, dropped)
+        return PipelineRun(path, self.check(spark, landing_root, clean_root, key, landed), counts, dropped)
 
-    def check(self, spark: SparkSession, landing_root: str, clean_root: str, key: str | None = None) -> DataFrame:
+    def _tallied(self, spark: SparkSession, landing_root: str, key: str | None, transform: Transform):
+        """The clean rows over a scan that counts its records, and the tally; (None, None) where nothing has
+        landed or the transform would spoil the count."""
+        monthly = self.grain == "monthly_to_yearly" and key
+        keys = quality.landing_keys(spark, landing_root, key, self.grain)
+        records = scan_landing_marked(spark, landing_root, keys) if keys != [] else None
+        if records is None:
+            return None, None
+        tally = quality.LandingTally(quality.landed_months(spark, landing_root, [key]) if monthly else None)
+        clean = transform(tally.watch(records))
+        return (tally, clean) if tally.holds(clean) else (None, None)
+
+    def check(self, spark: SparkSession, landing_root: str, clean_root: str, key: str | None = None,
+              landed: DataFrame | None = None) -> DataFrame:
+        """Accounting of what is stored; ``landed`` are the counts of a run, without them the shards are parsed."""
         if self.grain == "monthly_to_yearly" and key:
             return quality.monthly_accounting(spark, landing_root, clean_root, [key],
-                                              allow_row_drop=self.expect_filtered_rows)
-        return quality.flat_accounting(spark, landing_root, clean_root, key, allow_row_drop=self.expect_filtered_rows)
+                                              allow_row_drop=self.expect_filtered_rows, landed=landed)
+        return quality.flat_accounting(spark, landing_root, clean_root, key, allow_row_drop=self.expect_filtered_rows,
+                                       landed=landed)
 
     def summary(self, spark: SparkSession, landing_root: str, clean_root: str) -> DataFrame:
         return quality.cross_partition_summary(spark, landing_root, clean_root, self.grain)

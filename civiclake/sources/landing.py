@@ -61,19 +61,27 @@ def scan_landing(spark: SparkSession, root: str, keys: list[str] | None = None,
     return _reader(spark, root, mode="DROPMALFORMED").schema(schema).csv(paths)
 
 
-def scan_landing_records(spark: SparkSession, root: str, keys: list[str] | None = None) -> DataFrame | None:
-    """Every record of every shard: its file and whether it is well formed. None without shards."""
+def scan_landing_marked(spark: SparkSession, root: str, keys: list[str] | None = None) -> DataFrame | None:
+    """Every record of every shard as text columns (plus hive columns); ``_corrupt_record`` holds the text of
+    those that are not well formed and is null for the others. None without shards."""
     paths = _paths(spark, root, keys)
     if not paths or not _has_shards(spark, paths):
         return None
     names = landing_columns(spark, root, paths)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
-    records = (_reader(spark, root, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-               .schema(schema).csv(paths))
-    hive = [c for c in records.columns if c not in schema.fieldNames()]
+    return _reader(spark, root, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(schema).csv(paths)
+
+
+def scan_landing_records(spark: SparkSession, root: str, keys: list[str] | None = None) -> DataFrame | None:
+    """Every record of every shard: its file and whether it is well formed. None without shards."""
+    records = scan_landing_marked(spark, root, keys)
+    if records is None:
+        return None
+    # The shard's own columns come first, then the mark, then the hive columns.
+    hive = records.columns[records.columns.index(CORRUPT) + 1:]
     # Spark refuses a scan of the corrupt column alone; a zero-length piece of the first column
     # keeps that one in the scan without changing the test.
-    broken = F.concat_ws("", F.col(CORRUPT), F.substring(F.col(f"`{names[0]}`"), 1, 0)) != ""
+    broken = F.concat_ws("", F.col(CORRUPT), F.substring(F.col(f"`{records.columns[0]}`"), 1, 0)) != ""
     return records.select(F.col("_metadata.file_path").alias("file_path"),
                           F.col("_metadata.file_name").alias("file_name"), *hive, (~broken).alias("parsed"))
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from civiclake.operators.enrichments import BoroughConfig, StandardEnrichments, TemporalConfig, TimestampConfig
+from civiclake.operators import quality
 from civiclake.operators.quality import Diagnostics
 from civiclake.plans import analytics, flood
 from civiclake.plans.pipeline import LandingToClean
@@ -53,6 +54,30 @@ def test_filtering_pipeline_reports_what_it_drops(spark, landed, tmp_path):
     assert easy.dropped["count"] == 1 and easy.dropped["sample"][0]["unique_key"] == "b" and "csv" in easy.dropped
 
 
+def test_shards_are_parsed_once(spark, tmp_path, monkeypatch):
+    root = tmp_path / "landing"
+    shard(root / "year=2024" / "month=01", "a.csv.gz", "unique_key,created_date,borough,other\na,2024-01-05T10:00:00,BRONX,1\nbroken\n")
+    shard(root / "year=2024" / "month=02", "a.csv.gz", "unique_key,created_date,borough,other\n")
+    shard(root / "year=2024" / "month=03", "a.csv.gz", "unique_key,created_date,borough,other\nc,2024-03-10,K,\"x\ny\"\nd,2024-03-11,,4\n")
+    steps = {"plain": None, "filtered": lambda df: df.where("borough IS NOT NULL"), "sorted": lambda df: df.orderBy("unique_key"),
+             "limited": lambda df: df.limit(1), "emptied": lambda df: df.where("false")}
+    calls = []
+    counted = quality.landing_counts
+    monkeypatch.setattr(quality, "landing_counts", lambda *a: calls.append(a) or counted(*a))
+    for grain, key in (("monthly", "2024"), (None, None)):
+        for name, step in steps.items():
+            pipeline = LandingToClean("p", CONTRACT, ENRICH, step, grain, grain and "yearly", True)
+            calls.clear()
+            clean = str(tmp_path / f"{name}-{grain}")
+            run = pipeline.run(spark, str(root), clean, key)
+            assert bool(calls) == (name in ("sorted", "limited", "emptied")), name
+            assert run.accounting.collect() == pipeline.check(spark, str(root), clean, key).collect()
+            if name == "filtered":
+                row = run.accounting.first()
+                assert (row.landing_rows, row.parsed_rows, row.clean_rows, row.reason) == (4, 3, 2, "rows_lost_in_parsing")
+                assert grain is None or (row.months_materialized, row.months_with_data, row.months_empty) == (3, 2, 1)
+
+
 def test_year_without_landing(spark, landed, tmp_path):
     pipeline = LandingToClean("p", CONTRACT, ENRICH, landing_partitions="monthly", clean_partitions="yearly")
     run = pipeline.run(spark, landed, str(tmp_path / "clean"), "2030")
