@@ -33,23 +33,27 @@ DAILY_CHUNK_DAYS = 30
 HOURLY_CHUNK_DAYS = 7
 
 
-def scan_transactions(spark: SparkSession, path: str, schema: T.StructType | str, *, row_tag: str = "transaction",
-                      status_tag: str = "status") -> DataFrame:
+def scan_transactions(spark: SparkSession, path: str, schema: T.StructType | str, *, response_tag: str = "response",
+                      records_tag: str = "result_records", row_tag: str = "transaction", status_tag: str = "status") -> DataFrame:
     """``<transaction>`` records; groups one level deep become top-level columns, text is trimmed.
-    A response whose status is not ``success`` is an error."""
+
+    The files are read once, a row per response (a page of the API, so bounded) that carries its status. A
+    response whose status is not ``success`` is an error as soon as its rows are asked for."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    status = (spark.read.format("xml").option("rowTag", status_tag)
-              .schema("result string, messages struct<message: struct<description: string>>").load(path))
-    failed = status.where(F.col("result") != "success").select("messages.message.description").head()
-    if failed is not None:
-        raise RuntimeError(f"response failed: {failed[0] or 'unknown error'}")
-    rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    status = T.StructType.fromDDL("result string, messages struct<message: struct<description: string>>")
+    page = T.StructType([T.StructField(status_tag, status),
+                         T.StructField(records_tag, T.StructType([T.StructField(row_tag, T.ArrayType(schema))]))])
+    pages = spark.read.format("xml").option("rowTag", response_tag).schema(page).load(path)
+    reason = F.coalesce(F.col(f"{status_tag}.messages.message.description"), F.lit("unknown error"))
+    records = F.when(F.trim(F.col(f"{status_tag}.result")) != "success", F.raise_error(F.concat(F.lit("response failed: "), reason))) \
+        .otherwise(F.col(f"{records_tag}.{row_tag}"))
+    rows = pages.select(F.explode(records).alias("record"))
     flat = []
     for field in schema.fields:
         nested = isinstance(field.dataType, T.StructType)
         names = [f"{field.name}.{f.name}" for f in field.dataType.fields] if nested else [field.name]
-        flat += [F.trim(F.col(n)).alias(n.rsplit(".", 1)[-1]) for n in names]
+        flat += [F.trim(F.col(f"record.{n}")).alias(n.rsplit(".", 1)[-1]) for n in names]
     return rows.select(flat)
 
 

@@ -1,6 +1,7 @@
 import gzip
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from civiclake.sources import catalog, export, landing, pages, responses, storage, tables, views
@@ -161,8 +162,15 @@ def test_xml(spark, tmp_path):
     rows = responses.scan_transactions(spark, str(tmp_path / "ok.xml"), "id string, amounts struct<adopted: string, spent: string>").collect()
     assert sorted(tuple(r) for r in rows) == [("1", "5", "6"), ("2", None, None)]
     (tmp_path / "bad.xml").write_text(XML.format("failure"))
-    with pytest.raises(RuntimeError, match="bad key"):
-        responses.scan_transactions(spark, str(tmp_path / "bad.xml"), "id string")
+    with pytest.raises(PySparkException, match="response failed: bad key"):
+        responses.scan_transactions(spark, str(tmp_path / "bad.xml"), "id string").collect()
+    mixed = responses.scan_transactions(spark, str(tmp_path / "*.xml"), "id string")
+    with pytest.raises(PySparkException, match="bad key"):
+        mixed.count()
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan xml") == 1
+    (tmp_path / "none.xml").write_text("<response><status><result>success</result></status><result_records/></response>")
+    assert responses.scan_transactions(spark, str(tmp_path / "none.xml"), "id string").count() == 0
 
 
 def test_weather(spark, tmp_path):
