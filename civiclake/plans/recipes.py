@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import re
 import textwrap
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from pathlib import Path
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from civiclake.functions.temporal import NEW_YORK, partition_windows
 from civiclake.operators.quality import stored_nonempty_check
-from civiclake.sources.storage import log
+from civiclake.sources.storage import log, partition_path, partition_values, write_by_columns
 from civiclake.sources.tables import write_table
 from civiclake.sources.views import mount_dependencies
 
@@ -155,11 +157,71 @@ def _first_day(start: str) -> str:
     return f"{start}-01-01" if len(start) == 4 else start
 
 
+#: Alias of the partition table inside a recipe that runs for all of its partitions at once.
+_WINDOW = "__window"
+_WINDOW_COLUMNS = {"partition_key": "string", "partition_start": "date", "partition_end": "date",
+                   "partition_start_ts": "timestamp", "partition_end_ts": "timestamp"}
+
+
+def query_partitions(spark: SparkSession, recipe: Recipe, partitions: Sequence[Partition]) -> DataFrame:
+    """The recipe's results for several partitions as one frame, each row beside its ``partition_key``.
+
+    The partitions are a small table (a row per year or month) and the query a lateral subquery of it, with
+    every token bound to a column: Spark turns it into one range join of the data with the partitions, under the
+    recipe's own aggregates. A global aggregate has its row for a partition without data too."""
+    used, args, rows = set(_TOKEN.findall(recipe.sql)), {}, []
+    for i, partition in enumerate(partitions):
+        values = {c: _token_value(c, partition) if c in used else partition.key if c == "partition_key" else None for c in _WINDOW_COLUMNS}
+        bound = {f"{c}_{i}": v for c, v in values.items() if v is not None}
+        args |= bound
+        rows.append("(%s)" % ", ".join(f"CAST({f':{c}_{i}' if f'{c}_{i}' in bound else 'NULL'} AS {t})" for c, t in _WINDOW_COLUMNS.items()))
+    view = f"partitions_{uuid.uuid4().hex}"
+    # An inline table has a known, small size: Spark broadcasts it and never the data beside it.
+    spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS windows({', '.join(_WINDOW_COLUMNS)})", args=args).createOrReplaceTempView(view)
+    body = _TOKEN.sub(lambda m: f"{_WINDOW}.{m[1]}", recipe.sql).rstrip().rstrip(";")
+    try:
+        return spark.sql(f"SELECT {_WINDOW}.partition_key, result.* FROM {view} AS {_WINDOW}, LATERAL (\n{body}\n) AS result")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def _write_partitions(spark: SparkSession, recipe: Recipe, root: str, partitions: Sequence[Partition]) -> bool:
+    """All partitions by one job. False, with nothing written, where the query cannot be bound to a table of
+    partitions or their folders are not hive folders of their own."""
+    hive = {p.key: partition_values(p.key) for p in partitions}
+    shapes = {tuple(v) for v in hive.values()}
+    if len(partitions) < 2 or len(shapes) != 1 or shapes == {()} or len({partition_path("", k) for k in hive}) < len(partitions):
+        return False
+    columns, written = list(shapes.pop()), Observation()
+    try:
+        made = query_partitions(spark, recipe, partitions)
+        made = made.drop(*[c for c in columns if c != "partition_key"])
+        # A set of keys stays the same when a task is repeated.
+        seen = made.observe(written, F.collect_set("partition_key").alias("keys"))
+        parts = F.split("partition_key", "-")
+        frame = seen.withColumns({c: F.get(parts, F.lit(i)) for i, c in enumerate(columns)}).drop("partition_key")
+        if "CollectMetrics" not in frame._jdf.queryExecution().executedPlan().toString():
+            return False
+    except PySparkException as problem:
+        log.warning("recipe %s runs once per partition: %s", recipe.name, str(problem).splitlines()[0])
+        return False
+    write_by_columns(frame, root, "parquet", columns)
+    keys = set(written.get["keys"])
+    # A partition that has no rows now must not keep those of an earlier run.
+    for partition in partitions:
+        if partition.key not in keys:
+            write_table(frame.drop(*columns).limit(0), root, partition.key)
+    return True
+
+
 def backfill(spark: SparkSession, recipe: Recipe, roots: Sequence[str], target: str, partitions: Sequence[Partition]) -> DataFrame:
-    """Run the recipe once per partition. Each run replaces only its own folder, so a backfill can be
-    resumed or repeated for some keys; the result is the check of the whole table."""
+    """Run the recipe for the given partitions, several by one job that reads the dependencies once. Only the
+    folders of these partitions are replaced, so a backfill can be resumed or repeated for some keys; the result
+    is the check of the whole table. A single partition, keys without hive folders and queries that Spark cannot
+    correlate with a table of partitions run one after another."""
     mount_dependencies(spark, list(recipe.deps), list(roots))
     root = f"{target.rstrip('/')}/{recipe.name}"
-    for partition in partitions:
-        write_table(query(spark, recipe, partition), root, partition.key)
+    if not _write_partitions(spark, recipe, root, partitions):
+        for partition in partitions:
+            write_table(query(spark, recipe, partition), root, partition.key)
     return stored_nonempty_check(spark, root)

@@ -90,3 +90,41 @@ def test_run_and_backfill(spark, frame, tmp_path):
     assert {(r.year, r.n) for r in tables.read_table(spark, f"{target}/sums").collect()} == {("2023", 1), ("2024", 50)}
     empty = recipes.run_recipe(spark, Recipe("none", "SELECT * FROM backfill_input WHERE false", deps=["backfill_input"]), [clean], target)
     assert tuple(empty.first()) == (0, False)
+
+
+MONTHS = [Partition(f"2024-{m:02d}", datetime(2024, m, 1, tzinfo=NY), datetime(2024, m + 1, 1, tzinfo=NY)) for m in range(1, 5)]
+
+
+@pytest.mark.parametrize("text", [
+    "SELECT sum(n) AS n, count(*) AS c FROM fill WHERE d >= {{partition_start}} AND d < {{partition_end}}",
+    "WITH w AS (SELECT * FROM fill WHERE d >= {{partition_start}} AND d < {{partition_end}}) SELECT k, sum(n) AS n FROM w GROUP BY k HAVING count(*) > 0",
+    "SELECT k, n, rank() OVER (PARTITION BY k ORDER BY n) AS place FROM fill WHERE t >= {{partition_start_ts}} AND t < {{partition_end_ts}};",
+    "SELECT '{{partition_key}}' AS label, k, 'x' AS month FROM fill WHERE date_format(d, 'yyyy-MM') = {{partition_key}}",
+    "SELECT k, n FROM fill WHERE d >= {{partition_start}} AND d < {{partition_end}} ORDER BY n DESC LIMIT 1"])
+def test_backfill_in_one_job_equals_one_per_partition(spark, frame, tmp_path, text):
+    text = text.replace("'{{partition_key}}'", "{{partition_key}}")
+    rows = [(date(2024, m, d), datetime(2024, m, d, 12), k, m * d) for m in (1, 2, 4) for d in (1, 20) for k in ("a", "b", None)]
+    frame("d date, t timestamp, k string, n int", *rows).createOrReplaceTempView("fill")
+    recipe, root = Recipe("r", text), str(tmp_path / "one")
+    for partition in MONTHS:
+        tables.write_table(recipes.query(spark, recipe, partition), root, partition.key)
+    recipes.backfill(spark, recipe, [], str(tmp_path / "all"), MONTHS)
+    read = lambda path: sorted(map(repr, (r.asDict().items() for r in tables.read_table(spark, path).select(*sorted(tables.read_table(spark, path).columns)).collect())))
+    assert read(str(tmp_path / "all" / "r")) == read(root)
+
+
+def test_backfill_is_one_write_and_clears_what_is_empty_now(spark, frame, tmp_path, monkeypatch):
+    recipe = Recipe("r", "SELECT k, sum(n) AS n FROM fill WHERE d >= {{partition_start}} AND d < {{partition_end}} GROUP BY k")
+    frame("d date, k string, n int", *[(date(2024, m, 1), "a", m) for m in (1, 2, 3)]).createOrReplaceTempView("fill")
+    one_by_one = []
+    monkeypatch.setattr(recipes, "query", lambda *a: one_by_one.append(a))
+    plan = recipes.query_partitions(spark, recipe, MONTHS)._jdf.queryExecution().executedPlan().toString()
+    # The partitions are sent to the data, not the data to the partitions.
+    assert "CartesianProduct" not in plan and plan.count("BroadcastNestedLoopJoin BuildLeft") == plan.count("BroadcastNestedLoopJoin") == 1
+    recipes.backfill(spark, recipe, [], str(tmp_path), MONTHS)
+    frame("d date, k string, n int", (date(2024, 2, 1), "a", 7), (date(2024, 4, 2), "a", 9)).createOrReplaceTempView("fill")
+    recipes.backfill(spark, recipe, [], str(tmp_path), MONTHS[:2])  # January is empty now; March stays as it was
+    assert {(r.month, r.n) for r in tables.read_table(spark, f"{tmp_path}/r").collect()} == {("02", 7), ("03", 3)}
+    assert one_by_one == []
+    with pytest.raises(RecipeError):
+        recipes.backfill(spark, recipe, [], str(tmp_path), [Partition("2024-01"), Partition("2024-02")])
