@@ -6,7 +6,7 @@ import re
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from civiclake.operators.unions import diagonal_concat
 from civiclake.sources.storage import has_file, log, partition_path, partition_values, write_by_columns, write_partition
@@ -38,16 +38,19 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     return has_file(spark, path, ".parquet")
 
 
-def read_table(spark: SparkSession, root: str, keys: list[str] | None = None, *, merge_schema: bool = True) -> DataFrame:
-    """Table or some of its partitions; files may lack columns others have (read as null). A missing
-    partition is a warning, nothing at all an error."""
+def read_table(spark: SparkSession, root: str, keys: list[str] | None = None, *, merge_schema: bool = True,
+               schema: T.StructType | str | None = None) -> DataFrame:
+    """Table or some of its partitions; files may lack columns others have (read as null). With a declared
+    ``schema`` (hive columns may be left out) no footer is opened before the query runs; without one the
+    schemas of all files are merged. A missing partition is a warning, nothing at all an error."""
     wanted = [partition_path(root, k) for k in keys] if keys else [root]
     found = [p for p in wanted if _has_files(spark, p)]
     for path in sorted(set(wanted) - set(found)):
         log.warning("no Parquet files under %s", path)
     if not found:
         raise FileNotFoundError(f"no Parquet files for {keys or 'any partition'} under {root}")
-    return spark.read.option("mergeSchema", merge_schema).option("basePath", root).parquet(*found)
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", merge_schema)
+    return reader.option("basePath", root).parquet(*found)
 
 
 def load_partitions(spark: SparkSession, root: str, keys: list[str], *,

@@ -33,44 +33,49 @@ def _named(paths: list[str], names: list[str]):
     return zip(paths, names)
 
 
-def register_views(spark: SparkSession, paths: list[str], names: list[str]) -> list[str]:
-    """Temporary view per path (``.parquet``, ``.csv``, ``.json``); paths naming nothing are skipped."""
+def register_views(spark: SparkSession, paths: list[str], names: list[str], *,
+                   schemas: dict[str, T.StructType | str] | None = None) -> list[str]:
+    """Temporary view per path (``.parquet``, ``.csv``, ``.json``); paths naming nothing are skipped. A name with a
+    declared schema needs no pass over its file to infer one."""
     done = []
     for path, name in _named(paths, names):
         if not matches(spark, path):
             log.warning("skipping %s: nothing at %s", name, path)
             continue
-        read_file(spark, path, _format_of(path)).createOrReplaceTempView(name)
+        read_file(spark, path, _format_of(path), schema=(schemas or {}).get(name)).createOrReplaceTempView(name)
         done.append(name)
     return done
 
 
-def register_tables(spark: SparkSession, paths: list[str], names: list[str], *, location: str | None = None) -> list[str]:
+def register_tables(spark: SparkSession, paths: list[str], names: list[str], *, location: str | None = None,
+                    schemas: dict[str, T.StructType | str] | None = None) -> list[str]:
     """As :func:`register_views`, stored as tables: in the warehouse, or below ``location``."""
     done = []
     for path, name in _named(paths, names):
         if not matches(spark, path):
             log.warning("skipping %s: nothing at %s", name, path)
             continue
-        writer = read_file(spark, path, _format_of(path)).write.mode("overwrite")
+        writer = read_file(spark, path, _format_of(path), schema=(schemas or {}).get(name)).write.mode("overwrite")
         (writer.option("path", f"{location.rstrip('/')}/{name}") if location else writer).saveAsTable(name)
         done.append(name)
     return done
 
 
-def register_partitioned_view(spark: SparkSession, root: str, name: str) -> bool:
-    """View over a hive-partitioned table; False when it has no files."""
+def register_partitioned_view(spark: SparkSession, root: str, name: str, schema: T.StructType | str | None = None) -> bool:
+    """View over a hive-partitioned table, of a declared schema or of its files' merged one; False when it has no
+    files."""
     try:
-        read_table(spark, root).createOrReplaceTempView(name)
+        read_table(spark, root, schema=schema).createOrReplaceTempView(name)
     except FileNotFoundError:
         log.warning("skipping %s: no Parquet files under %s", name, root)
         return False
     return True
 
 
-def bulk_register(spark: SparkSession, base: str, names: list[str]) -> list[str]:
+def bulk_register(spark: SparkSession, base: str, names: list[str],
+                  schemas: dict[str, T.StructType | str] | None = None) -> list[str]:
     """Views over ``base/name`` for every name, flat or partitioned."""
-    return [n for n in names if register_partitioned_view(spark, f"{base.rstrip('/')}/{n}", n)]
+    return [n for n in names if register_partitioned_view(spark, f"{base.rstrip('/')}/{n}", n, (schemas or {}).get(n))]
 
 
 def empty_view(spark: SparkSession, name: str, schema: T.StructType | str | None = None) -> None:
@@ -79,13 +84,14 @@ def empty_view(spark: SparkSession, name: str, schema: T.StructType | str | None
 
 
 def mount_dependencies(spark: SparkSession, deps: list[str], roots: list[str],
-                       schemas: dict[str, T.StructType] | None = None) -> dict[str, str | None]:
-    """View per dependency from the first root that has it; an empty one when none has. Returns
-    the root used for each."""
+                       schemas: dict[str, T.StructType | str] | None = None) -> dict[str, str | None]:
+    """View per dependency from the first root that has it; an empty one when none has. A declared schema
+    serves both, so that no footers are read to find it. Returns the root used for each."""
     used: dict[str, str | None] = {}
     for dep in deps:
+        declared = (schemas or {}).get(dep)
         used[dep] = next((r for r in roots if matches(spark, f"{r.rstrip('/')}/{dep}")
-                          and register_partitioned_view(spark, f"{r.rstrip('/')}/{dep}", dep)), None)
+                          and register_partitioned_view(spark, f"{r.rstrip('/')}/{dep}", dep, declared)), None)
         if used[dep] is None:
             log.warning("no data for dependency %s", dep)
             empty_view(spark, dep, (schemas or {}).get(dep))

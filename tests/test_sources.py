@@ -198,3 +198,30 @@ def test_catalog(spark, frame, tmp_path):
     assert ("default", "known_table", "Known") in {tuple(r) for r in catalog.table_comments(spark).collect()}
     assert catalog.describe(spark, "default.unknown_table", with_comments=True).columns == ["column_name", "column_type", "comment"]
     assert catalog.list_tables(spark).where(F.col("name") == "known_table").first()["columns"] == 2
+
+
+def test_declared_schemas_need_no_pass_over_the_files(spark, frame, tmp_path):
+    root = f"{tmp_path}/evolved"
+    tables.write_table(frame("a int", 1), root, "2023")
+    tables.write_table(frame("a int, b string", (2, "x")), root, "2024")
+    (tmp_path / "typed.csv").write_text("a,b\n1,2\n")
+
+    def jobs(action):
+        group = f"schemas-{action.__name__}"
+        spark.sparkContext.setJobGroup(group, group)
+        action()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    def declared():
+        views.bulk_register(spark, str(tmp_path), ["evolved"], {"evolved": "a int, b string"})
+        views.register_views(spark, [str(tmp_path / "typed.csv")], ["typed"], schemas={"typed": "a bigint, b string"})
+        views.mount_dependencies(spark, ["evolved"], [str(tmp_path)], {"evolved": "a int, b string"})
+
+    def merged():
+        views.bulk_register(spark, str(tmp_path), ["evolved"])
+
+    assert jobs(declared) == 0 < jobs(merged)
+    views.mount_dependencies(spark, ["evolved"], [str(tmp_path)], {"evolved": "a int, b string"})
+    assert sorted(tuple(r) for r in spark.table("evolved").select("a", "b", "year").collect()) == [(1, None, "2023"), (2, "x", "2024")]
+    assert [tuple(r) for r in spark.table("typed").collect()] == [(1, "2")]
