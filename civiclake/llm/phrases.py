@@ -4,7 +4,8 @@
    below the threshold proves that none of its words or pairs is frequent; the rest are kept as two bit maps.
 2. A second pass follows, from every word, the pairs that may be frequent, to at most LONGEST words. These suffixes
    are counted where they are equal, and routed by the hash of their language and two leading words and one of SPLIT
-   classes of the third, so that a frequent leading pair is dealt over several tasks. Single words are counted alongside.
+   classes of the third, so that a frequent leading pair is dealt over several tasks. Single words are counted alongside
+   and routed by their own hash, in a row per task, language and route as the suffixes are.
 3. Each route sorts its suffixes by multikey three-way quicksort: the weight of an equal partition is the count of the
    phrase it stands for; partitions below the threshold are abandoned. A phrase shorter than the routing words is
    counted in part by several routes, never abandoned there, and added up.
@@ -20,6 +21,7 @@ are exact for a * n below 10^35.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -232,6 +234,28 @@ def unpacked(blobs: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return [b"", *known], np.concatenate(suffixes), np.concatenate(weights)
 
 
+def packed_words(words: Counter[bytes], routes: int) -> Iterator[tuple[int, bytes]]:
+    """(route, packed words with their counts)."""
+    pack = zstandard.ZstdCompressor(1).compress
+    own: dict[int, list[bytes]] = {}
+    for word in words:
+        own.setdefault(zlib.crc32(word) % routes, []).append(word)
+    for route, some in own.items():
+        counts = np.array([len(some), *(words[w] for w in some)], "<i8").tobytes()
+        yield route, pack(counts + b"\n".join(some))
+
+
+def added_words(blobs: list[bytes]) -> Counter[bytes]:
+    """Sum of packed counts."""
+    total: Counter[bytes] = Counter()
+    for blob in blobs:
+        raw = zstandard.ZstdDecompressor().decompress(blob)
+        n = int(np.frombuffer(raw, "<i8", 1)[0])
+        for word, count in zip(raw[8 * (n + 1):].split(b"\n"), np.frombuffer(raw, "<i8", n, 8).tolist()):
+            total[word] += count
+    return total
+
+
 def quicksort(suffixes: np.ndarray, weights: np.ndarray, least: int, complete: int = ROUTED) -> Iterator[tuple[int, int, int]]:
     """(a suffix, words, count) of every prefix of two words or more, by multikey three-way quicksort; prefixes of
     ``complete`` words or more count ``least`` or more, shorter ones are all given."""
@@ -269,18 +293,18 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Suffixes] = {}
         single: dict[str, Counter[bytes]] = {}
-        names = ["lang", "route", "suffixes", "word", "n"]
+
+        def row(lang: str, route: int, suffixes: bytes | None, words: bytes | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([route], pa.int64()), pa.array([suffixes], pa.binary()),
+                                               pa.array([words], pa.binary())], ["lang", "route", "suffixes", "words"])
 
         def suffix_rows(some: Suffixes) -> Iterator[pa.RecordBatch]:
             for lang, route, packed in some.routed(routes):
-                yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([route], pa.int64()), pa.array([packed], pa.binary()),
-                                                  pa.array([None], pa.string()), pa.array([None], pa.int64())], names)
+                yield row(lang, route, packed, None)
 
         def word_rows(lang: str, words: Counter[bytes]) -> Iterator[pa.RecordBatch]:
-            n = len(words)
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
-                                                  pa.array(list(words), pa.binary()).cast(pa.string()), pa.array(list(words.values()), pa.int64())], names)
+            for route, packed in packed_words(words, routes):
+                yield row(lang, route, None, packed)
 
         for lang, data in chunks(batches, chunk):
             words = Words(lang, data)
@@ -301,14 +325,16 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
             yield from word_rows(lang, counts)
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
-        words, suffixes, weights = unpacked(list(group["suffixes"]))
-        rows = [(b" ".join(words[k] for k in suffixes[row, :size].tolist()).decode(), count) for row, size, count in quicksort(suffixes, weights, least)]
+        rows = [(word.decode(), count) for word, count in added_words(list(group["words"].dropna())).items() if count >= least]
+        packed = list(group["suffixes"].dropna())
+        if packed:
+            words, suffixes, weights = unpacked(packed)
+            rows += [(b" ".join(words[k] for k in suffixes[row, :size].tolist()).decode(), count) for row, size, count in quicksort(suffixes, weights, least)]
         return pd.DataFrame({"lang": group["lang"].iloc[0], "phrase": [p for p, _ in rows], "a": pd.array([c for _, c in rows], "int64")})
 
-    found = materialise(docs.mapInArrow(follow, "lang string, route long, suffixes binary, word string, n long"), "phrase-suffixes")
-    phrases = found.where("route is not null").groupBy("lang", "route").applyInPandas(sort, "lang string, phrase string, a long")
-    single = found.where("route is null").select("lang", F.col("word").alias("phrase"), F.col("n").alias("a"))
-    counts = phrases.unionByName(single).groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    found = materialise(docs.mapInArrow(follow, "lang string, route long, suffixes binary, words binary"), "phrase-suffixes")
+    phrases = found.groupBy("lang", "route").applyInPandas(sort, "lang string, phrase string, a long")
+    counts = phrases.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     return materialise(counts, "phrase-counts"), sizes
 
 

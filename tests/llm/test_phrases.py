@@ -100,3 +100,15 @@ def test_large_products_are_exact(spark):
     finally:
         phrases.phrase_counts = phrases_of
     assert row.score == 1000 * 29_999_999_999_999_999 * n // (n * n) == 999
+
+
+def test_packed_words_add_up():
+    counts = [collections.Counter({b"a": 3, "é".encode(): 70000, b"\x00": 1}), collections.Counter({b"a": 2}), collections.Counter()]
+    for routes in (1, 7):
+        blobs = {}
+        for some in counts:
+            for route, packed in phrases.packed_words(some, routes):
+                blobs.setdefault(route, []).append(packed)
+        assert sum((phrases.added_words(b) for b in blobs.values()), collections.Counter()) == sum(counts, collections.Counter())
+        assert sum(len(phrases.added_words(b)) for b in blobs.values()) == 3  # a word has one route
+    assert phrases.added_words([]) == collections.Counter()
