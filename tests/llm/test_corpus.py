@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from civiclake.llm import decontaminate, ngramjoin, suffixdedup
 from civiclake.llm.common import word_hashes
@@ -81,6 +82,34 @@ def test_ngram_join_matches_brute_force(spark, monkeypatch, width, percent, memb
     assert sorted(tuple(r) for r in ngramjoin.near_duplicates(df, width, percent).collect()) == brute_groups(rows, width, percent)
 
 
+@pytest.mark.parametrize("members, crowd", [(4096, 32), (40, 2)])
+def test_ngram_join_of_near_copies_that_do_not_link(spark, monkeypatch, members, crowd):
+    """Sets too far from each other for a group share units, so a token of them all does not meet each with each."""
+    pick = random.Random(4)
+    base = [f"{k}x" for k in range(90)]
+    rows = []
+    for k in range(400):
+        words = base.copy()
+        for at in pick.sample(range(90), 4 if k % 8 else 1):
+            words[at] += "abcdefgh"[pick.randrange(8)]
+        rows.append((k, " ".join(words)))
+    made = []
+    opened = ngramjoin._opened
+
+    def spy(kept, whole, units, *rest):
+        here = kept.select("token", "sig").join(units, "sig").groupBy("token").agg(F.countDistinct("sig").alias("sets"), F.countDistinct("unit").alias("units"))
+        made.append(here.agg(F.sum(F.col("sets") * F.col("units")), F.sum("sets")).first())
+        return opened(kept, whole, units, *rest)
+
+    monkeypatch.setattr(ngramjoin, "MEMBERS", members)
+    monkeypatch.setattr(ngramjoin, "CROWD", crowd)
+    monkeypatch.setattr(ngramjoin, "_opened", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert sorted(tuple(r) for r in ngramjoin.near_duplicates(df).collect()) == brute_groups(rows)
+    (pairs, held), = made
+    assert pairs <= 8 * held or members < 400
+
+
 def test_ngram_join_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert sorted(tuple(r) for r in QUERIES["op6_ngram_join"](spark, SF).collect()) == brute_groups(rows)
